@@ -132,7 +132,7 @@ def _grow(n: int) -> None:
     global _powers, _inverses
     if len(_powers) < n:
         n = max(n, 2 * len(_powers))
-        _powers, _inverses = (np.cumprod(np.concatenate([[1], np.full(n - 1, x, np.uint64)]).astype(np.uint64), dtype=np.uint64) for x in (_BASE, _INVERSE))
+        _powers, _inverses = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]), dtype=np.uint64) for x in (_BASE, _INVERSE))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixture, quality, sharding, simhash
+from . import bpe, exact_dedup, mixture, quality, quality_rules, secrets, sharding, simhash, substring_dedup, toxicity
 from .common import held_out
 
 
@@ -20,6 +20,28 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_docs(spark, sf_dir), digest_all=True)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_docs(spark, sf_dir).select("doc_id", "text"))
+    return secrets.digests(found).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(_docs(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.apply_rules(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_and_decode(_docs(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
     return bpe.digests(encoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -46,5 +68,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_rows")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op6_bpe, op7_mixture, op8_quality, op9_sharding, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_secrets, op4_substring_dedup, op5_quality_rules, op6_bpe, op7_mixture, op8_quality, op9_sharding, op10_simhash)}
 ORACLES: dict[str, str] = {}
