@@ -1,0 +1,101 @@
+"""Model calls: image summaries and embeddings, with pluggable clients and offline stand-ins.
+
+A client is made once for each partition by a factory, and called through a circuit breaker of that worker process.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..plans.ship import ship
+from .resilience import ERROR, Breaker, BreakerOpen, captured
+from .text import NO_SUMMARY
+
+DIMENSION, BATCH = 1536, 16
+
+
+def data_url(image: Column) -> Column:
+    return F.concat(F.lit("data:image/png;base64,"), F.regexp_replace(F.base64(image), "[\r\n]", ""))
+
+
+class OfflineSummarizer:
+    """Says how large an image is; stands in for a vision model."""
+
+    def __call__(self, image: bytes) -> str:
+        return f"Image of {len(image)} bytes."
+
+
+class HashingEmbedder:
+    """Unit vectors from hashed tokens: equal texts get equal vectors."""
+
+    def __init__(self, dimension: int = DIMENSION):
+        self.dimension = dimension
+
+    def __call__(self, texts: list[str]) -> list[list[float]]:
+        out = np.zeros((len(texts), self.dimension), np.float32)
+        for row, text in zip(out, texts):
+            for token in text.split():
+                h = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "big")
+                row[h % self.dimension] += 1 if h >> 63 else -1
+            row /= np.linalg.norm(row) or 1.0
+        return out.tolist()
+
+
+_breakers: dict[str, Breaker] = {}
+
+
+def breaker(name: str) -> Breaker:
+    return _breakers.setdefault(name, Breaker(name))
+
+
+def summarize(images: DataFrame, make: Callable[[], Callable[[bytes], str]] = OfflineSummarizer) -> DataFrame:
+    """images(doc_id, page, image_index, content) with summary. Any failure, and an empty answer, gives the fixed phrase."""
+    ship(images.sparkSession)
+    kind = images.schema["doc_id"].dataType.simpleString()
+
+    def run(frames):
+        client = make()
+        for f in frames:
+            def one(content):
+                try:
+                    return (breaker("vlm").call(client, bytes(content)) or "").strip() or NO_SUMMARY
+                except Exception:  # a missing summary never fails a document
+                    return NO_SUMMARY
+
+            yield f.assign(summary=f["content"].map(one))[["doc_id", "page", "image_index", "summary"]]
+
+    return images.select("doc_id", "page", "image_index", "content").mapInPandas(run, f"doc_id {kind}, page int, image_index int, summary string")
+
+
+def embed(rows: DataFrame, text: str, make: Callable[[], Callable[[list[str]], list[list[float]]]] = HashingEmbedder, batch: int = BATCH, dimension: int = DIMENSION) -> DataFrame:
+    """rows with vector and error. Batches go out in order of rows; a wrong number or size of vectors is an error that is not retried."""
+    ship(rows.sparkSession)
+    names = rows.columns
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "vector array<float>", f"error {ERROR}"])
+
+    def run(frames):
+        client = make()
+        for f in frames:
+            vectors, errors = [], []
+            for k in range(0, len(f), batch):
+                texts = f[text].iloc[k : k + batch].tolist()
+                try:
+                    got = breaker("embed").call(client, texts)
+                    if len(got) != len(texts):
+                        raise RuntimeError(f"{len(texts)} texts but {len(got)} vectors")
+                    if any(len(v) != dimension for v in got):
+                        raise RuntimeError(f"vectors are not of {dimension} numbers")
+                    vectors += [list(map(float, v)) for v in got]
+                    errors += [None] * len(texts)
+                except (Exception, BreakerOpen) as e:
+                    vectors += [None] * len(texts)
+                    errors += [captured(e, "embed_chunks")] * len(texts)
+            yield pd.concat([f[names].reset_index(drop=True), pd.DataFrame({"vector": pd.Series(vectors, dtype=object), "error": pd.Series(errors, dtype=object)})], axis=1)
+
+    return rows.mapInPandas(run, schema)
