@@ -8,7 +8,7 @@ below zero. Scores are calibrated on the labelled rows that may be used, so that
 
 Features are computed from the whole text only: shares of character classes, lengths and repetition of words,
 repeated word sequences and lines. Null and blank texts have all features zero and get a score like any other.
-Repeated rows give equal scores. Without any usable labels every score is 0.5. Columns named score are replaced.
+Repeated rows give equal scores. Without any usable labels every score is 0.5. A column that has the name of the score is replaced.
 
 SAMPLE bounds the rows of each kind (labelled, unlabelled) that the model is fitted on.
 """
@@ -178,6 +178,6 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return model
 
 
-def score_quality(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """docs with score, 0 to 1, from the whole text."""
-    return add_columns(docs, [T.StructField("score", T.DoubleType())], lambda: lambda t: [np.full(len(t), 0.5) if model is None else model.score(features(t))], text)
+def score_quality(docs: DataFrame, model: Model | None, text: str = "text", name: str = "score") -> DataFrame:
+    """docs with a score, 0 to 1, from the whole text."""
+    return add_columns(docs, [T.StructField(name, T.DoubleType())], lambda: lambda t: [np.full(len(t), 0.5) if model is None else model.score(features(t))], text)

@@ -69,4 +69,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_secrets, op4_substring_dedup, op5_quality_rules, op6_bpe, op7_mixture, op8_quality, op9_sharding, op10_simhash)}
-ORACLES: dict[str, str] = {}
+
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": """WITH g AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size, doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256 FROM g""",
+    "op4_substring_dedup": r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), h AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + 34 <= len(w) THEN md5(array_to_string(w[i:i + 34], ' ')) END AS k FROM p),
+f AS (SELECT doc_id, i, word, CASE WHEN k IS NOT NULL AND count(*) OVER (PARTITION BY k) > 1 THEN 1 ELSE 0 END AS again FROM h),
+g AS (SELECT doc_id, i, word, sum(again) OVER (PARTITION BY doc_id ORDER BY i ROWS 34 PRECEDING) > 0 AS gone FROM f),
+a AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept FROM g GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a ON d.doc_id = a.doc_id""".replace("\\\\", "\\"),
+    "op7_mixture": r"""WITH z AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size, md5(doc_id || ':' || md5(coalesce(text, ''))) AS k FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM z GROUP BY source), r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s), w AS (SELECT *, [1.0::DOUBLE, 2.0, 3.0][rank % 3 + 1] AS weight FROM r),
+l AS (SELECT *, 3 * source_size / weight AS level FROM w), t AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS total, CAST(coalesce(sum(3 * source_size) OVER b, 0) AS DOUBLE) AS filled, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS free FROM l WINDOW b AS (ORDER BY level, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+h AS (SELECT arg_min((total - filled) / free, (level, rank)) AS held FROM t WHERE (total - filled) / free < level),
+g AS (SELECT source, source_size, rank, weight, least(3 * CAST(source_size AS DOUBLE), coalesce(held, level) * weight) AS target FROM t LEFT JOIN h ON true),
+c AS (SELECT z.doc_id, z.size, g.source_size, g.target, g.rank, CAST(coalesce(sum(z.size) OVER (PARTITION BY g.rank ORDER BY z.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before, CASE WHEN g.source_size > 0 THEN CAST(floor(g.target / g.source_size) AS BIGINT) ELSE 0 END AS passes FROM z JOIN g ON z.source IS NOT DISTINCT FROM g.source),
+e AS (SELECT *, passes * size + least(greatest(CAST(round(target - passes * source_size) AS BIGINT) - before, 0), size) AS taken, [1.5::DOUBLE, 1.0, 0.5][rank % 3 + 1] AS a, [0.5::DOUBLE, 1.0, 1.5][rank % 3 + 1] AS b, CASE WHEN target > 0 THEN least(before / target, 1.0) END AS share FROM c)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken, CASE WHEN taken > 0 THEN share * (a + b) / (a + sqrt(a * a + share * (b * b - a * a))) END AS position FROM e""",
+}

@@ -240,7 +240,7 @@ class Corpus:
 
 def _evidence(c: Corpus, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
     """Smoothed log odds of each word's subsequences."""
-    t, n = np.zeros(_SIZE**4), np.zeros(_SIZE**4)
+    t, n = np.zeros(_SIZE**4, np.float32), np.zeros(_SIZE**4, np.float32)
     for k in range(0, len(c.words), 20_000):
         s = Subsequences(c.words[k : k + 20_000])
         owner = np.repeat(np.arange(len(s.first)), np.diff(np.append(s.first, s.n))) + k
@@ -250,8 +250,13 @@ def _evidence(c: Corpus, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_c
                 np.add.at(t, code, toxic[u])
                 np.add.at(n, code, clean[u])
     share = n_toxic / (n_toxic + n_clean)
-    table = np.log((t + 4 * share) / (n_toxic + 4)) - np.log((n + 4 * (1 - share)) / (n_clean + 4))
-    return c.over(lambda w: Subsequences(w).margins(table))
+    # In place: the tables are large, and so is the driver's share of memory that they would take.
+    for table, mean, total in ((t, 4 * share, n_toxic + 4), (n, 4 * (1 - share), n_clean + 4)):
+        table += np.float32(mean)
+        table /= np.float32(total)
+        np.log(table, out=table)
+    t -= n
+    return c.over(lambda w: Subsequences(w).margins(t))
 
 
 def fit(texts: list[bytes], y: np.ndarray, seed: int = 13) -> Model:
