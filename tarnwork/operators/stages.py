@@ -88,8 +88,11 @@ def assemble(blocks: DataFrame, summaries: DataFrame) -> DataFrame:
     return blocks.join(by_doc, "doc_id", "left").withColumn("text", text.splice(F.col("text"), F.coalesce("summaries", empty))).drop("summaries")
 
 
-def chunked(blocks: DataFrame, body: str = "text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, native: bool = True) -> DataFrame:
-    """blocks with one row a chunk: chunk_no and content. Blocks without text give no rows; chunks never span blocks."""
+def chunked(blocks: DataFrame, body: str = "text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, native: bool = False) -> DataFrame:
+    """blocks with one row a chunk: chunk_no and content. Blocks without text give no rows; chunks never span blocks.
+
+    Packing runs in Arrow batches over span lengths (about twice as fast as the native fold at sf0.1), or natively.
+    """
     ship(blocks.sparkSession)
     spanned = blocks.withColumn("__spans", text.spans(F.coalesce(F.col(body), F.lit(""))))
     if native:

@@ -7,11 +7,12 @@ Python take their retryable failures again, up to the retry budget of a document
 
 from __future__ import annotations
 
+import logging
 import random
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ from ..operators import stages, tables
 from ..sources.objects import with_content, write_images
 
 
+JOBS = "job_id string, status string, processed array<string>, failed array<string>, skipped int, elapsed_ms long, chunks long, images long, error_type string, error_message string"
+log = logging.getLogger("tarnwork")
+
+
 @dataclass
 class Settings:
     chunk_size: int = stages.CHUNK_SIZE
@@ -60,6 +65,13 @@ class Store:
         audit = {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp(), "created_by": F.lit("ingestion"), "updated_by": F.lit("ingestion")}
         tables.absent(rows, self.read(table), keys).withColumns(audit).select([f.name for f in schema.fields]).write.mode("append").parquet(self.path(table))
 
+    def record(self, summary: JobSummary) -> None:
+        """Add a job to the registry."""
+        self.spark.createDataFrame([tuple(asdict(summary).values())], JOBS).coalesce(1).write.mode("append").parquet(self.path("jobs"))
+
+    def jobs(self) -> DataFrame:
+        return self.spark.read.schema(JOBS).parquet(self.path("jobs")) if self._exists(self.path("jobs")) else self.spark.createDataFrame([], JOBS)
+
     def _versions(self) -> list[str]:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path("documents"))
         fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -120,6 +132,8 @@ def run_job(spark: SparkSession, store: Store, objects: str, knowledge_base: str
         out = JobSummary(job, "CRASHED", [], [], 0, elapsed(), error_type=type(e).__name__, error_message=str(e))
     finally:
         spark.sparkContext.setJobDescription(None)
+    store.record(out)
+    log.info("job_end", extra={"fields": asdict(out)})
     if on_complete:
         on_complete(out)
     return out
@@ -135,6 +149,7 @@ def _run(spark: SparkSession, store: Store, objects: str, knowledge_base: str |
 
     documents = store.read("documents")
     claimed = write(stages.claim(documents, knowledge_base, most))
+    log.info("job_start", extra={"fields": {"job_id": job, "knowledge_base": knowledge_base, "max_documents": most}})
     store.replace_documents(documents.withColumn("status", F.when(F.col("doc_id").isin([r.doc_id for r in claimed.select("doc_id").collect()]), "PROCESSING").otherwise(F.col("status"))))  # at most 100 ids
     ready = stages.verified(with_content(claimed, objects))
     extracted = with_retries(ready, lambda d: stages.extract(d), ["doc_id"], write, settings)
@@ -154,6 +169,10 @@ def _run(spark: SparkSession, store: Store, objects: str, knowledge_base: str |
     return outcome
 
 
+def job_status(jobs: DataFrame, job_id: str) -> DataFrame:
+    return jobs.filter(F.col("job_id") == job_id)
+
+
 def document_status(documents: DataFrame, doc_id: str) -> DataFrame:
     return documents.filter(F.col("doc_id") == doc_id).select("doc_id", "status", "last_error", "updated_at")
 

@@ -14,6 +14,7 @@ from ..functions import keys, models, resilience, text
 from ..operators import search, stages, tables
 from ..streaming.ingest import ingest_stream
 from .ship import ship
+from .spread import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,8 +88,8 @@ chunks AS (SELECT c.doc_id, w.lang, row_number() OVER (PARTITION BY c.doc_id ORD
 hashed AS (SELECT *, sha256(trim(regexp_replace(lower(content), '\\s+', ' ', 'g'))) AS chunk_hash FROM chunks)"""
 
 
-def _chunks(read, native: bool = True) -> DataFrame:
-    return stages.chunked(read("documents").select("doc_id", "lang", "text"), native=native)
+def _chunks(read, native: bool = False) -> DataFrame:
+    return stages.chunked(spread(read("documents").select("doc_id", "lang", "text"), "doc_id"), native=native)
 
 
 def _hashed(read) -> DataFrame:
@@ -97,12 +98,12 @@ def _hashed(read) -> DataFrame:
 
 @_query(f"WITH RECURSIVE {_SQL_CHUNKS} SELECT doc_id, chunk_no, length(content) AS n_chars, md5(content) AS digest FROM chunks")
 def chunk_documents(read, spark, sf_dir):
-    return _chunks(read).select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
+    return _chunks(read, native=True).select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"))
 
 
 @_query(f"WITH RECURSIVE {_SQL_CHUNKS} SELECT doc_id, chunk_no, md5(content) AS digest FROM chunks")
 def chunk_documents_arrow(read, spark, sf_dir):
-    return _chunks(read, native=False).select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.md5("content").alias("digest"))
+    return _chunks(read).select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.md5("content").alias("digest"))
 
 
 @_query(f"WITH RECURSIVE {_SQL_CHUNKS} SELECT lang, count(*) AS chunks, count(DISTINCT chunk_hash) AS distinct_chunks, count(DISTINCT doc_id) AS docs, CAST(sum(length(content)) AS BIGINT) AS chars FROM hashed GROUP BY lang")
@@ -123,7 +124,7 @@ s AS (SELECT doc_id, CAST(sum(CASE WHEN up THEN 1::HUGEINT << b ELSE 0 END) AS B
 
 
 def _simhashes(read) -> DataFrame:
-    return read("documents").select("doc_id", text.simhash(text.normalize("text")).alias("simhash"))
+    return spread(read("documents").select("doc_id", "text"), "doc_id").select("doc_id", text.simhash(text.normalize("text")).alias("simhash"))
 
 
 @_query(f"WITH {_SQL_SIMHASH} SELECT doc_id, simhash FROM s")
@@ -300,3 +301,102 @@ def stream_ingest(read, spark, sf_dir):
     for _ in range(2):
         ingest_stream(spark, pattern, read("documents").schema, f"{top}/chunks", f"{top}/state", 8)
     return spark.read.parquet(f"{top}/chunks").select("doc_id", "chunk_hash", F.col("chunk_no").cast("long").alias("chunk_no"))
+
+
+# Files: made from the test tables, then read back by the extractors.
+
+
+def _files(rows: DataFrame, key: str, build, kind: str, kb: str = "Maintenance") -> DataFrame:
+    """Files that build(frame) makes for each key, verified and extracted: doc_id, block_no, page, section, text."""
+
+    def one(name, frame):
+        import pandas as pd
+
+        return pd.DataFrame({"doc_id": [str(name[0])], "content": [build(frame)]})
+
+    made = rows.groupBy(key).applyInPandas(one, "doc_id string, content binary")
+    queued = made.select("doc_id", F.lit(kind).alias("doc_type"), F.lit(kb).alias("knowledge_base_type"), F.sha2("content", 256).alias("doc_hash"), F.lit("s3://documents/f").alias("s3_url"), "content")
+    return stages.blocks_of(stages.extract(stages.verified(queued)))
+
+
+@_query("""WITH l AS (SELECT conv_id, turn, role = 'user' AS h, trim(text, ' ' || chr(10)) AS text FROM conversations WHERE trim(text, ' ' || chr(10)) <> ''), n AS (SELECT *, coalesce(sum(h::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING), 0) AS g FROM l),
+s AS (SELECT conv_id, g, coalesce(max(CASE WHEN h THEN text END), 'section-1') AS section, string_agg(text, chr(10) ORDER BY turn) FILTER (NOT h) AS body FROM n GROUP BY conv_id, g)
+SELECT CAST(conv_id AS VARCHAR) AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY g) AS INT) AS page, section, body AS text FROM s WHERE body IS NOT NULL""")
+def extract_docx(read, spark, sf_dir):
+    def build(frame):
+        from ..sources import build as make
+
+        f = frame.sort_values("turn")
+        return make.docx([(role == "user", t or "") for role, t in zip(f.role, f.text)])
+
+    return _files(read("conversations"), "conv_id", build, "DOCX").select("doc_id", "page", "section", "text")
+
+
+@_query("""SELECT CAST(conv_id AS VARCHAR) AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INT) AS page, trim(coalesce(text, ''), ' ' || chr(10)) || CASE WHEN trim(coalesce(text, ''), ' ' || chr(10)) = '' THEN '' ELSE chr(10) END || '<SPEAKER_NOTES>' || role || '</SPEAKER_NOTES>' AS text FROM conversations""")
+def extract_pptx(read, spark, sf_dir):
+    def build(frame):
+        from ..sources import build as make
+
+        f = frame.sort_values("turn")
+        return make.pptx([([t or ""], role, []) for role, t in zip(f.role, f.text)])
+
+    return _files(read("conversations"), "conv_id", build, "PPT").select("doc_id", "page", "text")
+
+
+@_query("""WITH n AS (SELECT o_custkey % 20 AS book, row_number() OVER (PARTITION BY o_custkey % 20 ORDER BY o_orderkey) AS n, o_orderkey || ',' || o_custkey || ',' || o_orderpriority AS csv FROM orders)
+SELECT CAST(book AS VARCHAR) AS doc_id, 'orders:rows-' || min(n) || '-' || max(n) AS section, '<TABLE_REFERENCE>' || chr(10) || 'o_orderkey,o_custkey,o_orderpriority' || chr(10) || string_agg(csv, chr(10) ORDER BY n) || chr(10) || '</TABLE_REFERENCE>' AS text FROM n GROUP BY book, (n - 1) // 50""")
+def extract_xlsx(read, spark, sf_dir):
+    def build(frame):
+        from ..sources import build as make
+
+        f = frame.sort_values("o_orderkey")
+        return make.xlsx({"orders": [["o_orderkey", "o_custkey", "o_orderpriority"], *f[["o_orderkey", "o_custkey", "o_orderpriority"]].values.tolist()]})
+
+    rows = read("orders").select((F.col("o_custkey") % 20).alias("book"), "o_orderkey", "o_custkey", "o_orderpriority")
+    return _files(rows, "book", build, "EXCEL").select("doc_id", "section", "text")
+
+
+@_query("""SELECT CAST(page_id AS VARCHAR) AS doc_id, 'page-1' AS section, url || chr(10) || 'Page (' || page_id || ')' || CASE WHEN page_id % 2 = 0 THEN chr(10) || '<IMAGE_REFERENCE src="s3://documents/raw/maintenance/images/' || page_id || '/1_1.png" page="1" index="1"></IMAGE_REFERENCE>' ELSE '' END AS text FROM pages""")
+def extract_pdf(read, spark, sf_dir):
+    def build(frame):
+        from ..sources import build as make
+
+        return make.pdf([([frame.url.iloc[0], f"Page ({frame.page_id.iloc[0]})"], frame.page_id.iloc[0] % 2 == 0)])
+
+    return _files(read("pages").select("page_id", "url"), "page_id", build, "PDF").select("doc_id", "section", "text")
+
+
+@_query("""WITH p AS (SELECT *, row_number() OVER (ORDER BY page_id) AS n FROM pages) SELECT CAST(page_id AS VARCHAR) AS doc_id, CASE WHEN page_id % 10 = 3 THEN 'FAILED' ELSE 'EMBEDDED' END AS status, page_id % 10 = 3 AS has_error FROM p WHERE n <= 20""")
+def job_end_to_end(read, spark, sf_dir):
+    """A whole job over 20 PDF files made from pages, some with a wrong hash: queue, extraction, summaries, chunks, vectors, status."""
+    from .job import Settings, Store, run_job
+
+    top = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='tarnwork-')}/job-{uuid.uuid4().hex}"
+    pages = read("pages").orderBy("page_id").limit(20).select("page_id", "url")
+
+    def files(frames):
+        from ..sources import build as make
+
+        for f in frames:
+            yield f.assign(content=[make.pdf([([u, f"Page {p}."], p % 2 == 0)]) for p, u in zip(f.page_id, f.url)])
+
+    key = F.concat(F.lit("raw/maintenance/documents/"), F.col("page_id").cast("string"), F.lit(".pdf"))
+    made = pages.mapInPandas(files, "page_id long, url string, content binary")
+    made = made.select(F.col("page_id").cast("string").alias("doc_id"), F.when(F.col("page_id") % 10 == 3, F.sha2(F.lit("x").cast("binary"), 256)).otherwise(F.sha2("content", 256)).alias("doc_hash"), key.alias("key"), "content")
+    made.write.parquet(f"{top}/made")
+    made = spark.read.parquet(f"{top}/made")
+    jvm = spark._jvm
+    for r in made.select("key", "content").toLocalIterator():  # 20 small files, as an uploader would put them
+        path = jvm.org.apache.hadoop.fs.Path(f"{top}/objects/{r.key}")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        out.write(r.content)
+        out.close()
+    null = F.lit(None).cast("string")
+    rows = made.select(
+        "doc_id", F.lit("PDF").alias("doc_type"), "doc_hash", F.col("key").alias("doc_name"), null.alias("author"), null.alias("source"), null.alias("version"), F.concat(F.lit("s3://documents/"), "key").alias("s3_url"),
+        F.lit("Maintenance").alias("knowledge_base_type"), F.lit("NEW").alias("status"), null.alias("last_error"), F.lit("2024-01-01").cast("timestamp").alias("created_at"), F.lit(None).cast("timestamp").alias("updated_at"), null.alias("created_by"), null.alias("updated_by"),
+    )
+    store = Store(spark, f"{top}/store")
+    store.replace_documents(rows)
+    run_job(spark, store, f"{top}/objects", None, 100, Settings(dimension=64, embedder=functools.partial(models.HashingEmbedder, 64)))
+    return store.read("documents").select("doc_id", "status", F.col("last_error").isNotNull().alias("has_error"))

@@ -104,3 +104,23 @@ def test_tables(spark):
     assert tables.absent(rows, rows.filter("chunk_hash = 'h'"), ["doc_id", "chunk_hash"]).count() == 1
     bad = spark.createDataFrame([("PDF", "Maintenance"), ("TXT", "Maintenance"), ("PDF", None)], "doc_type string, knowledge_base_type string")
     assert [r[0] is None for r in bad.select(tables.invalid(bad)).collect()] == [True, False, False]
+
+
+def test_registry_settings_and_log(spark, place):
+    import io
+    import json
+
+    from tarnwork.plans.config import log_to, settings_from
+    from tarnwork.plans.job import job_status
+
+    store, objects = place
+    stream = io.StringIO()
+    log_to(stream)
+    out = run_job(spark, store, objects, "BusinessIntelligence", 1, settings())
+    assert [r.status for r in job_status(store.jobs(), out.job_id).collect()] == ["COMPLETED"]
+    events = [json.loads(line) for line in stream.getvalue().splitlines()]
+    assert [e["event"] for e in events] == ["job_start", "job_end"] and events[1]["job_id"] == out.job_id
+    spark.conf.set("spark.tarnwork.chunk_overlap", "7")
+    got = settings_from(spark, {"TARNWORK_CHUNK_SIZE": "50", "TARNWORK_CHUNK_OVERLAP": "9", "TARNWORK_BACKOFF_CAP": "2.5"})
+    assert (got.chunk_size, got.chunk_overlap, got.backoff_cap) == (50, 7, 2.5)
+    spark.conf.unset("spark.tarnwork.chunk_overlap")
