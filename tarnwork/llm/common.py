@@ -20,6 +20,8 @@ from ..plans.ship import ship
 
 #: Text that one call of a batch function sees, in bytes; a longer document comes alone.
 BATCH_BYTES = 2 << 20
+#: Small rows in one file of a scratch table.
+ROWS_A_FILE = 100_000
 #: ASCII white space, the only separators of words.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -66,19 +68,15 @@ class Scratch:
         self.spark, self.top = spark, f"{shared_folder(spark)}/tarnwork-{uuid.uuid4().hex}"
         self.n = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """rows: at most so many are to come, all small; then no more files than they need are written."""
         path = f"{self.top}/{self.n}"
         self.n += 1
+        if rows is not None:
+            df = df.coalesce(max(12, rows // ROWS_A_FILE))
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *numbers: int) -> None:
-        """Remove tables that no later step reads."""
-        jvm = self.spark._jvm
-        for k in numbers:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.top}/{k}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
 
 def pieces(batches: Iterator[pa.RecordBatch], text: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds a bounded number of text bytes."""

@@ -22,12 +22,13 @@ PREFIX = 256
 
 
 def _repeated(buckets: DataFrame) -> DataFrame:
-    """Bitmaps of the buckets that two or more rows fall into: at most BUCKETS / 32768 + 1 rows."""
-    return (
+    """Bitmaps of the buckets that two or more rows fall into: at most BUCKETS / 32768 + 1 rows of 4 KB, by way of the driver."""
+    bitmaps = (
         buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n >= 2")
         .groupBy(F.bitmap_bucket_number(F.col("bucket") + 1).alias("part"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bucket") + 1)).alias("bits"))
     )
+    return buckets.sparkSession.createDataFrame(bitmaps.collect(), bitmaps.schema)
 
 
 def _marked(df: DataFrame, bitmaps: DataFrame, bucket: Column, name: str) -> DataFrame:
@@ -39,27 +40,28 @@ def _marked(df: DataFrame, bitmaps: DataFrame, bucket: Column, name: str) -> Dat
     return joined.withColumn(name, hit).drop("__part", "__bits", "__bucket")
 
 
-def refined(docs: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
+def refined(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with __norm, the normalised text, and __open: it may have an equal, so its full hash is needed."""
     size, prefix = F.octet_length("__norm").cast("long"), F.substring("__norm", 1, PREFIX)
     by_length, by_prefix = F.pmod(size, F.lit(BUCKETS)), F.pmod(F.xxhash64(size, prefix), F.lit(BUCKETS))
     norm = docs.withColumn("__norm", ascii_lower(text_or_empty(text)))
-    lengths = scratch.write(_repeated(norm.select(by_length.alias("bucket"))))
+    lengths = _repeated(norm.select(by_length.alias("bucket")))
     first = _marked(norm, lengths, by_length, "__open")
-    prefixes = scratch.write(_repeated(first.filter("__open").select(by_prefix.alias("bucket"))))
+    prefixes = _repeated(first.filter("__open").select(by_prefix.alias("bucket")))
     return _marked(first, prefixes, by_prefix, "__open2").withColumn("__open", F.col("__open") & F.col("__open2")).drop("__open2")
 
 
 def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", digest_all: bool = False) -> DataFrame:
     """One row per row of df: doc_id, keep_id, group_size, kept, text_sha256 (null where the refinement needed none, unless digest_all)."""
     scratch = Scratch(df.sparkSession)
-    rows = refined(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), scratch)
+    rows = refined(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     sha = F.sha2(F.col("__norm").cast("binary"), 256)
     signed = scratch.write(rows.select("doc_id", F.col("__open").alias("open"), (sha if digest_all else F.when(F.col("__open"), sha)).alias("text_sha256"), F.monotonically_increasing_id().alias("row")))
     opened = signed.filter("open")
     groups = scratch.write(
         opened.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
-        .select("text_sha256", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size")
+        .select("text_sha256", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size"),
+        rows=signed.count(),
     )
     columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     grouped = opened.join(groups, "text_sha256").withColumn("kept", F.col("row") == F.col("keep_row")).select(columns)
@@ -71,11 +73,11 @@ def exact_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """The rows of df that stay, with all their columns."""
     scratch = Scratch(df.sparkSession)
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row"), F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
-    rows = refined(packed, scratch, "__text")
+    rows = refined(packed, "__text")
     unpack = lambda x: x.select(*(F.col("__row").getField(c).alias(c) for c in df.columns))
     opened = rows.filter("__open").select("__row", "__id", F.sha2(F.col("__norm").cast("binary"), 256).alias("__sha"))
     per_id = opened.groupBy("__sha", "__id").agg(F.count("*").alias("n"))
-    keep = scratch.write(per_id.groupBy("__sha").agg(F.max(F.struct("__id", "n")).alias("k")).select(F.col("__sha").alias("__k"), F.col("k.__id").alias("__keep"), F.col("k.n").alias("__n")))
+    keep = scratch.write(per_id.groupBy("__sha").agg(F.max(F.struct("__id", "n")).alias("k")).select(F.col("__sha").alias("__k"), F.col("k.__id").alias("__keep"), F.col("k.n").alias("__n")), rows=df.count())
     stays = opened.join(keep, (F.col("__sha") == F.col("__k")) & F.col("__id").eqNullSafe(F.col("__keep")))
     out = rows.filter("not __open").select("__row")
     if keep.filter("__n > 1").isEmpty():
