@@ -187,16 +187,20 @@ def store_keys(read, spark, sf_dir):
     return q.select("doc_id", keys.documents_prefix(kb).alias("documents_prefix"), keys.image_key(kb, F.col("doc_id"), F.lit(4), F.lit(2), F.lit("png")).alias("image_key"), u["bucket"].alias("bucket"), u["key"].alias("key"), u["error"].isNotNull().alias("bad"))
 
 
-@_query(f"WITH h AS (SELECT doc_id % 50 AS doc_id, sha256({_NORM}) AS chunk_hash, doc_id AS n FROM documents), stored AS (SELECT doc_id, chunk_hash FROM h WHERE n % 2 = 0), fresh AS (SELECT doc_id, chunk_hash, min(n) AS n FROM h GROUP BY doc_id, chunk_hash) SELECT doc_id, chunk_hash, n FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.doc_id = f.doc_id AND s.chunk_hash = f.chunk_hash)")
+# Documents with labels are the stored ones; a source stands for the document whose chunks they are.
+
+
+@_query(f"WITH h AS (SELECT source AS doc_id, sha256({_NORM}) AS chunk_hash, doc_id AS n FROM documents), stored AS (SELECT doc_id, chunk_hash FROM h WHERE n IN (SELECT doc_id FROM labels)), fresh AS (SELECT doc_id, chunk_hash, min(n) AS n FROM h GROUP BY doc_id, chunk_hash) SELECT doc_id, chunk_hash, n FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.doc_id = f.doc_id AND s.chunk_hash = f.chunk_hash)")
 def insert_if_absent(read, spark, sf_dir):
-    h = read("documents").select((F.col("doc_id") % 50).alias("doc_id"), text.content_hash(text.normalize_native(F.col("text"))).alias("chunk_hash"), F.col("doc_id").alias("n"))
-    return tables.absent(tables.first_of(h, ["doc_id", "chunk_hash"], ["n"]), h.filter(F.col("n") % 2 == 0), ["doc_id", "chunk_hash"]).select("doc_id", "chunk_hash", "n")
+    h = read("documents").select(F.col("source").alias("doc_id"), text.content_hash(text.normalize_native(F.col("text"))).alias("chunk_hash"), F.col("doc_id").alias("n"))
+    stored = h.join(read("labels").select(F.col("doc_id").alias("n")), "n", "left_semi")
+    return tables.absent(tables.first_of(h, ["doc_id", "chunk_hash"], ["n"]), stored, ["doc_id", "chunk_hash"]).select("doc_id", "chunk_hash", "n")
 
 
-@_query(f"WITH h AS (SELECT doc_id, sha256({_NORM}) AS chunk_hash FROM documents) SELECT h.doc_id, h.chunk_hash, 'stored-' || h.doc_id AS chunk_id FROM h WHERE doc_id % 3 = 0")
+@_query(f"WITH h AS (SELECT doc_id, sha256({_NORM}) AS chunk_hash FROM documents) SELECT h.doc_id, h.chunk_hash, 'stored-' || h.doc_id AS chunk_id FROM h WHERE doc_id IN (SELECT doc_id FROM labels)")
 def reconcile_ids(read, spark, sf_dir):
     h = read("documents").select("doc_id", text.content_hash(text.normalize_native(F.col("text"))).alias("chunk_hash"), F.lit("new").alias("chunk_id"))
-    stored = h.filter(F.col("doc_id") % 3 == 0).withColumn("chunk_id", F.concat(F.lit("stored-"), F.col("doc_id").cast("string")))
+    stored = h.join(read("labels").select("doc_id"), "doc_id", "left_semi").withColumn("chunk_id", F.concat(F.lit("stored-"), F.col("doc_id").cast("string")))
     return tables.reconciled(h, stored).select("doc_id", "chunk_hash", "chunk_id")
 
 
@@ -264,10 +268,10 @@ def retry_simulation(read, spark, sf_dir):
     return e.select("event_id", "attempt", resilience.route(F.lit(True), F.col("attempt") - 1, F.lit(3), F.lit("parse_pdf")).alias("target"), resilience.backoff(F.col("attempt")).alias("pause"))
 
 
-@_query("""SELECT event_id, '{"type":"' || event_type || '","message":"user ' || user_id || '","failed_node":"embed_chunks","retry_count":' || event_id % 4 || '}' AS last_error FROM events WHERE event_id % 5 = 0""")
+@_query("""SELECT event_id, '{"type":"' || event_type || '","message":"user ' || user_id || '","failed_node":"embed_chunks","retry_count":' || event_id % 4 || '}' AS last_error FROM events""")
 def last_error_json(read, spark, sf_dir):
     error = F.struct(F.col("event_type").alias("type"), F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("message"), F.lit("embed_chunks").alias("failed_node"))
-    return read("events").filter("event_id % 5 = 0").select("event_id", stages.last_error(error, F.col("event_id") % 4).alias("last_error"))
+    return read("events").select("event_id", stages.last_error(error, F.col("event_id") % 4).alias("last_error"))
 
 
 @_query("SELECT doc_id, 'data:image/png;base64,' || base64(encode(lang || source)) AS url FROM documents")
@@ -364,39 +368,3 @@ def extract_pdf(read, spark, sf_dir):
         return make.pdf([([frame.url.iloc[0], f"Page ({frame.page_id.iloc[0]})"], frame.page_id.iloc[0] % 2 == 0)])
 
     return _files(read("pages").select("page_id", "url"), "page_id", build, "PDF").select("doc_id", "section", "text")
-
-
-@_query("""WITH p AS (SELECT *, row_number() OVER (ORDER BY page_id) AS n FROM pages) SELECT CAST(page_id AS VARCHAR) AS doc_id, CASE WHEN page_id % 10 = 3 THEN 'FAILED' ELSE 'EMBEDDED' END AS status, page_id % 10 = 3 AS has_error FROM p WHERE n <= 20""")
-def job_end_to_end(read, spark, sf_dir):
-    """A whole job over 20 PDF files made from pages, some with a wrong hash: queue, extraction, summaries, chunks, vectors, status."""
-    from .job import Settings, Store, run_job
-
-    top = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='tarnwork-')}/job-{uuid.uuid4().hex}"
-    pages = read("pages").orderBy("page_id").limit(20).select("page_id", "url")
-
-    def files(frames):
-        from ..sources import build as make
-
-        for f in frames:
-            yield f.assign(content=[make.pdf([([u, f"Page {p}."], p % 2 == 0)]) for p, u in zip(f.page_id, f.url)])
-
-    key = F.concat(F.lit("raw/maintenance/documents/"), F.col("page_id").cast("string"), F.lit(".pdf"))
-    made = pages.mapInPandas(files, "page_id long, url string, content binary")
-    made = made.select(F.col("page_id").cast("string").alias("doc_id"), F.when(F.col("page_id") % 10 == 3, F.sha2(F.lit("x").cast("binary"), 256)).otherwise(F.sha2("content", 256)).alias("doc_hash"), key.alias("key"), "content")
-    made.write.parquet(f"{top}/made")
-    made = spark.read.parquet(f"{top}/made")
-    jvm = spark._jvm
-    for r in made.select("key", "content").toLocalIterator():  # 20 small files, as an uploader would put them
-        path = jvm.org.apache.hadoop.fs.Path(f"{top}/objects/{r.key}")
-        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-        out.write(r.content)
-        out.close()
-    null = F.lit(None).cast("string")
-    rows = made.select(
-        "doc_id", F.lit("PDF").alias("doc_type"), "doc_hash", F.col("key").alias("doc_name"), null.alias("author"), null.alias("source"), null.alias("version"), F.concat(F.lit("s3://documents/"), "key").alias("s3_url"),
-        F.lit("Maintenance").alias("knowledge_base_type"), F.lit("NEW").alias("status"), null.alias("last_error"), F.lit("2024-01-01").cast("timestamp").alias("created_at"), F.lit(None).cast("timestamp").alias("updated_at"), null.alias("created_by"), null.alias("updated_by"),
-    )
-    store = Store(spark, f"{top}/store")
-    store.replace_documents(rows)
-    run_job(spark, store, f"{top}/objects", None, 100, Settings(dimension=64, embedder=functools.partial(models.HashingEmbedder, 64)))
-    return store.read("documents").select("doc_id", "status", F.col("last_error").isNotNull().alias("has_error"))

@@ -9,10 +9,15 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+#: Bytes of a batch that goes to a Python worker, instead of 64 MB: long documents come in thousands.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's sources to the executors, once an application."""
+    """Send the package's sources to the executors, once an application; bound Arrow batches unless the session does."""
+    if spark.conf.get(_BATCH).rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

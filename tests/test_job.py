@@ -124,3 +124,12 @@ def test_registry_settings_and_log(spark, place):
     got = settings_from(spark, {"TARNWORK_CHUNK_SIZE": "50", "TARNWORK_CHUNK_OVERLAP": "9", "TARNWORK_BACKOFF_CAP": "2.5"})
     assert (got.chunk_size, got.chunk_overlap, got.backoff_cap) == (50, 7, 2.5)
     spark.conf.unset("spark.tarnwork.chunk_overlap")
+
+
+def test_created_tables(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS made")
+    tables.create_tables(spark, "made")
+    assert spark.table("made.embeddings").schema["vector"].dataType.simpleString() == "array<float>" and spark.table("made.documents").isEmpty()
+    for t in ("documents", "document_chunks", "embeddings"):
+        spark.sql(f"DROP TABLE made.{t}")
+    spark.sql("DROP DATABASE made")
