@@ -2,7 +2,7 @@
 
 The kernel compares two words by the subsequences of four characters that they share, each weighted by DECAY for
 every character that it skips, up to three (so it tolerates gaps and inserted characters); word borders are characters,
-marks inside a word are dropped, and kernels are divided by their usual size for the word's length. Landmarks span the
+marks inside a word are dropped, runs of one-letter words are read as one, and kernels are divided by their usual size for the word's length. Landmarks span the
 Nystroem features in which a squared-hinge machine is trained; its weights are folded back into one number for each
 subsequence of the landmarks, so that a word's margin is a sum over its subsequences, exactly the machine's value.
 
@@ -186,12 +186,27 @@ class Model:
         margins = self.words([w.buffer[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())])
         each = margins[back]
         most, sure = per_document(each, w.first, np.maximum, -2.0), per_document(np.maximum(each - 1, 0), w.first, np.add, 0.0)
+        at, spelled = _spelled(w)
+        if len(at):
+            m = self.words(spelled)
+            np.maximum.at(most, at, m)
+            np.add.at(sure, at, np.maximum(m - 1, 0))
         return np.column_stack([np.clip(most, -2, 2), np.log1p(w.counts), np.log1p(sure)])
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.documents(texts) @ self.calibration[:-1] + self.calibration[-1], -30, 30)))
 
 
+def _spelled(w: Words) -> tuple[np.ndarray, list[bytes]]:
+    """Words spelled with spaces: runs of three or more one-letter words, put together; and the document of each."""
+    letter = (w.ends - w.starts == 1) & (w.bytes[w.starts] | 32 >= 97) & (w.bytes[w.starts] | 32 <= 122)
+    doc = np.repeat(np.arange(len(w.counts)), w.counts)
+    starts = np.flatnonzero(letter & ~np.concatenate([[False], letter[:-1] & (doc[1:] == doc[:-1])]))
+    ends = np.flatnonzero(letter & ~np.concatenate([letter[1:] & (doc[1:] == doc[:-1]), [False]])) + 1
+    long = ends - starts >= 3
+    return doc[starts[long]], [bytes(w.bytes[w.starts[a:b]]) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     x1 = np.column_stack([x, np.ones(len(x))])
     w, ridge = np.zeros(x1.shape[1]), np.array([1e-2] * x.shape[1] + [1e-4])

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tarnwork.llm import bpe, quality_rules, secrets, sharding, simhash, substring_dedup
+from tarnwork.llm import bpe, quality_rules, secrets, sharding, simhash, substring_dedup, toxicity
 from tarnwork.llm import queries as Q
 from tarnwork.llm.common import Words
 from tests.test_queries import connected, rows
@@ -175,3 +175,17 @@ def test_scores_do_not_use_held_out_labels(spark, data, tmp_path):
     for name in ("op8_quality", "op2_toxicity"):
         a, b = (Q.QUERIES[name](spark, f).toPandas().sort_values("doc_id").score.to_numpy() for f in (data, str(tmp_path)))
         assert np.allclose(a, b)
+
+
+def test_disguised_insults():
+    r = random.Random(3)
+    syllable = ["th", "er", "on", "an", "re", "in", "ti", "es", "or", "ha"]
+    word = lambda: "".join(r.choices(syllable, k=r.randint(1, 4)))
+    insults = ["dumbkopf", "vilewretch", "grubmug"]
+    prose = lambda n, extra: " ".join(r.sample([*(word() for _ in range(n)), *extra], n + len(extra))) + "."
+    texts = [(prose(80, r.choices(insults, k=2)), 1) for _ in range(120)] + [(prose(80, []), 0) for _ in range(500)]
+    model = toxicity.fit([t.encode() for t, _ in texts], np.array([y for _, y in texts]))
+    fresh = lambda extra: model.score([prose(80, [extra]).encode() for _ in range(20)])
+    for disguise in ("dumbkopf", "d.u.m.b.k.o.p.f", "dumb-kopf", "DUMBKOPF!!", "v i l e w r e t c h", "grubxmug"):
+        assert (fresh(disguise) >= 0.3).mean() >= 0.8, disguise
+    assert (fresh("harmless") >= 0.3).mean() <= 0.1
