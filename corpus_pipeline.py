@@ -20,7 +20,7 @@ KEEP_SCORE = 0.5
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least KEEP_SCORE."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, model).filter(F.col("score") >= KEEP_SCORE).select(docs.columns)
+    return quality.score_quality(docs, model, name="__quality").filter(F.col("__quality") >= KEEP_SCORE).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates, by shingles of five words."""
+    """One document of each component of near-duplicates, with the shingles and the radius of op10."""
     return simhash.keep_one(docs)
 
 
