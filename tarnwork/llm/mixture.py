@@ -57,14 +57,15 @@ def placed(df: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
     """One row per row of df: doc_id, source, size, order_key, source_size, target, rank, before (words of the source before it), taken."""
     key = F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.md5(text_or_empty(text).cast("binary"))).cast("binary"))
     sized = scratch.write(df.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), F.size(word_array(text_or_empty(text))).cast("long").alias("size"), key.alias("order_key")))
-    targets = scratch.write(source_targets(sized, weights, cap))
+    n = sized.count()
+    targets = scratch.write(source_targets(sized, weights, cap), rows=1)
     hashed, buckets = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long"), F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long")
     t = targets.withColumnRenamed("source", "t_source")
     rows = sized.join(t, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     rows = scratch.write(rows.withColumn("bucket", F.floor(hashed * buckets / F.lit(1 << 32)).cast("long")))
     sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = scratch.write(sums.select("rank", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")))
+    offsets = scratch.write(sums.select("rank", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")), rows=n)
     within = Window.partitionBy("rank", "bucket").orderBy("order_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = rows.withColumn("before", F.sum("size").over(within) - F.col("size")).join(offsets, ["rank", "bucket"])
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
