@@ -196,16 +196,18 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of edges (a, b): root is the least node reachable. Alternating large and small stars."""
+    edges = scratch.write(edges)
+    n = edges.count()
     both = lambda e: e.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(e.select(F.col("b").alias("x"), F.col("a").alias("y")))
-    edges, before = scratch.write(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()), None
+    edges, before = scratch.write(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), rows=n), None
     while True:
         sides = both(edges)
-        least = scratch.write(sides.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("k"), F.least("x", "m").alias("m")))
-        large = scratch.write(sides.filter("y > x").join(least, F.col("x") == F.col("k")).select(F.col("m").alias("a"), F.col("y").alias("b")).distinct())
+        least = scratch.write(sides.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("k"), F.least("x", "m").alias("m")), rows=n)
+        large = scratch.write(sides.filter("y > x").join(least, F.col("x") == F.col("k")).select(F.col("m").alias("a"), F.col("y").alias("b")).distinct(), rows=n)
         # Small stars: of each node's lesser neighbours, all point to the least, and so does the node.
-        lower = scratch.write(large.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("k"), "m"))
+        lower = scratch.write(large.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("k"), "m"), rows=n)
         small = large.join(lower, F.col("b") == F.col("k"))
-        edges = scratch.write(small.select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).filter("a < b").distinct())
+        edges = scratch.write(small.select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).filter("a < b").distinct(), rows=n)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -218,21 +220,22 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     scratch = Scratch(df.sparkSession)
     slim = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(text_or_empty(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
     printed = scratch.write(with_fingerprint(slim, "text", "fp", shingle).drop("text"))
-    distinct = scratch.write(printed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    roots = scratch.write(components(links(distinct, distinct.count(), radius), scratch))
-    rooted = scratch.write(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least", "n"))
-    named = scratch.write(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_rows")))
-    by_print = scratch.write(rooted.select("fp", "root").join(named, "root"))
+    distinct = scratch.write(printed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), rows=printed.count())
+    n = distinct.count()
+    roots = scratch.write(components(links(distinct, n, radius), scratch), rows=n)
+    rooted = scratch.write(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least", "n"), rows=n)
+    named = scratch.write(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_rows")), rows=n)
+    by_print = scratch.write(rooted.select("fp", "root").join(named, "root"), rows=n)
     return printed.join(by_print, "fp")
 
 
-def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = RADIUS) -> DataFrame:
+def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
     """The rows of df without all but one of each component: the row with the smallest doc_id stays (null is last; of several, the least text hash)."""
     scratch = Scratch(df.sparkSession)
     groups = scratch.write(near_duplicates(df, doc_id, text, shingle, radius))
     rows = groups.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "n")).alias("s")
-    stays = scratch.write(rows.groupBy("root").agg(first).select(F.col("s.doc_id").alias("__keep"), F.col("s.text_hash").alias("__hash"), F.col("s.n").alias("__n")))
+    stays = scratch.write(rows.groupBy("root").agg(first).select(F.col("s.doc_id").alias("__keep"), F.col("s.text_hash").alias("__hash"), F.col("s.n").alias("__n")), rows=groups.count())
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row"), F.col(f"`{doc_id}`").alias("__id"), F.xxhash64(text_or_empty(f"`{text}`")).alias("__text"))
     kept = packed.join(stays, F.col("__id").eqNullSafe(F.col("__keep")) & (F.col("__text") == F.col("__hash")))
     unpack = lambda x: x.select(*(F.col("__row").getField(c).alias(c) for c in df.columns))
