@@ -77,6 +77,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, number: int) -> None:
+        """Remove a table that nothing reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.top}/{number}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def pieces(batches: Iterator[pa.RecordBatch], text: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds a bounded number of text bytes."""

@@ -28,7 +28,8 @@ def _repeated(buckets: DataFrame) -> DataFrame:
         .groupBy(F.bitmap_bucket_number(F.col("bucket") + 1).alias("part"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bucket") + 1)).alias("bits"))
     )
-    return buckets.sparkSession.createDataFrame(bitmaps.collect(), bitmaps.schema)
+    rows = F.array(*(F.struct(F.lit(part).alias("part"), F.lit(bits).alias("bits")) for part, bits in bitmaps.collect())).cast("array<struct<part:bigint,bits:binary>>")
+    return buckets.sparkSession.range(1).select(F.inline(rows))
 
 
 def _marked(df: DataFrame, bitmaps: DataFrame, bucket: Column, name: str) -> DataFrame:
