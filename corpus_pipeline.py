@@ -14,7 +14,7 @@ from tarnwork.llm import bpe, exact_dedup, mixture, quality, simhash
 from tarnwork.llm.common import Scratch
 
 #: Documents that score below this go.
-KEEP_SCORE = 0.5
+KEEP_SCORE = 0.3
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each from the written result of the one before."""
     scratch, docs = Scratch(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
+    for k, (_, stage) in enumerate(STAGES[:-1]):
         docs = scratch.write(stage(spark, docs, sf_dir))
+        if k:
+            scratch.drop(k - 1)  # only the newest is read from here on
     return STAGES[-1][1](spark, docs, sf_dir)
