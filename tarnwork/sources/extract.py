@@ -15,6 +15,7 @@ import zipfile
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 PLACEHOLDER = '<IMAGE_REFERENCE src="{url}" page="{page}" index="{index}"></IMAGE_REFERENCE>'
@@ -78,10 +79,17 @@ class _Package:
         return next((t.get("ContentType", "") for t in types if _name(t) == "Default" and t.get("Extension", "").lower() == ext), "")
 
 
-def _runs(paragraph) -> str:
-    parts = []
-    for e in paragraph.iter():
-        parts.append({"t": e.text or "", "tab": "\t", "br": "\n", "cr": "\n"}.get(_name(e), ""))
+def _runs(paragraph, line_break: str = "\n") -> str:
+    """Text of a paragraph's own runs, links and fields; what is drawn inside a run (text boxes) is not part of it."""
+    marks, parts = {"tab": "\t", "br": line_break, "cr": line_break, "noBreakHyphen": "-"}, []
+    for e in paragraph:
+        name = _name(e)
+        if name == "br":
+            parts.append(line_break)
+        elif name in ("r", "fld"):
+            parts += [x.text or "" if _name(x) == "t" else marks.get(_name(x), "") for x in e]
+        elif name == "hyperlink":
+            parts.append(_runs(e, line_break))
     return "".join(parts)
 
 
@@ -119,7 +127,7 @@ def extract_docx(content: bytes, out: Extracted) -> None:
 
 
 def _paragraphs(body) -> str:
-    return "\n".join(_runs(p) for p in body if _name(p) == "p")
+    return "\n".join(_runs(p, "\x0b") for p in body if _name(p) == "p")
 
 
 def extract_pptx(content: bytes, out: Extracted) -> None:
@@ -153,7 +161,28 @@ def _column(reference: str) -> int:
     return n - 1
 
 
-def _sheet_rows(sheet, shared: list[str]) -> list[list]:
+#: Numbers of the built-in formats that show dates or times.
+_DATE_FORMATS = {*range(14, 23), *range(45, 48)}
+
+
+def _date_styles(package: _Package) -> set[int]:
+    """Numbers of the cell styles that show dates or times."""
+    if "xl/styles.xml" not in package.names:
+        return set()
+    styles = package.xml("xl/styles.xml")
+    own = {int(f.get("numFmtId")): re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", f.get("formatCode", "")) for f in _all(styles, "numFmt")}
+    dated = _DATE_FORMATS | {k for k, code in own.items() if re.search("[dmyhs]", code, re.I)}
+    formats = _child(styles, "cellXfs")
+    return {k for k, f in enumerate(formats if formats is not None else []) if int(f.get("numFmtId", 0)) in dated}
+
+
+def _moment(days: float):
+    """Date and time of a serial number of days; a time alone below 1."""
+    moment = datetime(1899, 12, 30) + timedelta(seconds=round(days * 86400))
+    return moment.time() if days < 1 else moment
+
+
+def _sheet_rows(sheet, shared: list[str], dated: set[int]) -> list[list]:
     rows = []
     for r in _all(sheet, "row"):
         cells: list = []
@@ -172,11 +201,21 @@ def _sheet_rows(sheet, shared: list[str]) -> list[list]:
                     cells[at] = value.text
                 else:
                     number = float(value.text)
-                    cells[at] = int(number) if number.is_integer() else number
+                    cells[at] = _moment(number) if int(c.get("s", 0)) in dated else int(number) if number.is_integer() else number
         rows.append(cells)
     return rows
 
 
+def _distinct(header: list) -> list:
+    """Names with .1, .2 and so on after those that have been there."""
+    seen, out = {}, []
+    for name in header:
+        n = seen.get(name, 0)
+        seen[name] = n + 1
+        out.append(f"{name}.{n}" if n else name)
+    return out
+
+
 def table_text(header: list, rows: list[list]) -> str:
     """A table block: CSV with the header, stripped."""
     buffer = io.StringIO()
@@ -190,13 +229,14 @@ def extract_xlsx(content: bytes, out: Extracted) -> None:
     shared = ["".join(t.text or "" for t in _all(si, "t")) for si in _all(package.xml("xl/sharedStrings.xml"), "si")] if "xl/sharedStrings.xml" in package.names else []
     relations = package.relations(main)
     sheets = [(s.get("name"), relations[s.get(f"{_R}id")][1]) for s in _all(package.xml(main), "sheet")]
+    dated = _date_styles(package)
     for page, (name, part) in enumerate(sheets, 1):
-        rows = _sheet_rows(package.xml(part), shared)
+        rows = _sheet_rows(package.xml(part), shared, dated)
         if not rows:
             continue
         width = max(map(len, rows))
         blank = lambda r: ["" if v is None else v for v in [*r, *[None] * (width - len(r))]]
-        header = [f"Unnamed: {k}" if v in ("", None) else v for k, v in enumerate(blank(rows[0]))]
+        header = _distinct([f"Unnamed: {k}" if v == "" else v for k, v in enumerate(blank(rows[0]))])
         data = [blank(r) for r in rows[1:]]
         for start in range(0, len(data), ROWS_PER_BLOCK):
             some = data[start : start + ROWS_PER_BLOCK]
@@ -229,6 +269,13 @@ class _Pdf:
         if not content.lstrip()[:5] == b"%PDF-":
             raise ValueError("not a PDF file")
         self.objects = {int(m[1]): m[3] for m in _OBJECT.finditer(content)}
+        for o in [o for o in self.objects.values() if re.search(rb"/Type\s*/ObjStm\b", o.partition(b"stream")[0])]:
+            head, body = self.stream(o)
+            n, first = (int(re.search(rb"/" + k + rb"\s+(\d+)", head)[1]) for k in (b"N", b"First"))
+            numbers = list(map(int, body[:first].split()))[: 2 * n]
+            starts = [first + at for at in numbers[1::2]]
+            for number, a, b in zip(numbers[0::2], starts, [*starts[1:], len(body)]):
+                self.objects.setdefault(number, body[a:b])
         if not self.objects:
             raise NotImplementedError("PDF without plain objects")
 
@@ -269,8 +316,10 @@ class _Pdf:
         """(ext, bytes) of the page's image objects, in the order of its resources."""
         found = re.search(rb"/XObject\s*<<(.*?)>>", page, re.S)
         if not found:
-            for ref in self.refs(page, b"Resources"):
-                found = re.search(rb"/XObject\s*<<(.*?)>>", self.objects[ref], re.S)
+            for holder in [page, *(self.objects[r] for r in self.refs(page, b"Parent"))]:  # resources can be the parent's
+                found = found or re.search(rb"/XObject\s*<<(.*?)>>", holder, re.S)
+                for ref in self.refs(holder, b"Resources"):
+                    found = found or re.search(rb"/XObject\s*<<(.*?)>>", self.objects[ref], re.S)
         for ref in re.findall(rb"(\d+)\s+\d+\s+R", found[1]) if found else []:
             o = self.objects[int(ref)]
             if not re.search(rb"/Subtype\s*/Image\b", o):

@@ -115,3 +115,32 @@ def test_bad_files():
         extracted("PDF", b"no pdf")
     with pytest.raises(zipfile.BadZipFile):
         extracted("DOCX", b"no zip")
+
+
+def test_word_runs_and_shape_breaks():
+    body = '<w:p><w:pPr><w:tabs><w:tab/></w:tabs></w:pPr><w:r><w:t>a</w:t><w:tab/><w:t>b</w:t><w:br/></w:r><w:hyperlink><w:r><w:t>link</w:t></w:r></w:hyperlink><w:r><w:drawing><w:t>box</w:t></w:drawing></w:r></w:p>'
+    assert extracted("DOCX", zipped({"word/document.xml": f"<w:document {W}><w:body>{body}</w:body></w:document>"})).blocks == [(1, "section-1", "a\tb\nlink")]
+    slide = f"<p:sld {A}><p:cSld><p:spTree><p:sp><p:txBody><a:p><a:r><a:t>a</a:t></a:r><a:br/><a:fld><a:t>7</a:t></a:fld></a:p><a:p/></p:txBody></p:sp></p:spTree></p:cSld></p:sld>"
+    deck = {"ppt/presentation.xml": f'<p:presentation {A}><p:sldIdLst><p:sldId r:id="a"/></p:sldIdLst></p:presentation>', "ppt/_rels/presentation.xml.rels": rels(("a", "slide", "slides/s1.xml")), "ppt/slides/s1.xml": slide}
+    assert extracted("PPT", zipped(deck)).blocks == [(1, "slide-1", "a\x0b7")]
+
+
+def test_dates_and_repeated_headers():
+    rows = '<row r="1"><c r="A1" t="inlineStr"><is><t>x</t></is></c><c r="B1" t="inlineStr"><is><t>x</t></is></c><c r="D1" t="inlineStr"><is><t>y</t></is></c></row><row r="2"><c r="A2" s="1"><v>45292.5</v></c><c r="B2" s="2"><v>0.25</v></c><c r="D2" s="3"><v>1.5</v></c></row>'
+    book = {
+        "xl/workbook.xml": f'<workbook xmlns:r="{RELS}"><sheets><sheet name="S" r:id="a"/></sheets></workbook>', "xl/_rels/workbook.xml.rels": rels(("a", "worksheet", "worksheets/s1.xml")), "xl/worksheets/s1.xml": f"<worksheet><sheetData>{rows}</sheetData></worksheet>",
+        "xl/styles.xml": '<styleSheet><numFmts><numFmt numFmtId="164" formatCode="hh:mm"/><numFmt numFmtId="165" formatCode="0.0&quot;days&quot;"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>',
+    }
+    assert extracted("EXCEL", zipped(book)).blocks == [(1, "S:rows-1-1", "<TABLE_REFERENCE>\nx,x.1,Unnamed: 2,y\n2024-01-01 12:00:00,06:00:00,,1.5\n</TABLE_REFERENCE>")]
+
+
+def test_pdf_object_streams():
+    inner = [(1, b"<< /Type /Catalog /Pages 2 0 R >>"), (2, b"<< /Type /Pages /Kids [3 0 R] /Count 1 >>"), (3, b"<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>")]
+    head, body = b"", b""
+    for n, o in inner:
+        head += b"%d %d " % (n, len(body))
+        body += o + b" "
+    packed = zlib.compress(head + body)
+    text = b"BT /F1 12 Tf (Hi) Tj T* <4869> Tj [(a) -200 (b)] TJ ET"
+    file = b"%%PDF-1.5\n4 0 obj\n<< /Type /ObjStm /N 3 /First %d /Filter /FlateDecode >>\nstream\n" % len(head) + packed + b"\nendstream\nendobj\n5 0 obj\n<< /Length %d >>\nstream\n" % len(text) + text + b"\nendstream\nendobj\n"
+    assert extracted("PDF", file).blocks == [(1, "page-1", "Hi\nHiab")]
