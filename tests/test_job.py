@@ -133,3 +133,25 @@ def test_created_tables(spark):
     for t in ("documents", "document_chunks", "embeddings"):
         spark.sql(f"DROP TABLE made.{t}")
     spark.sql("DROP DATABASE made")
+
+
+def test_objects(spark, place, monkeypatch):
+    from tarnwork.sources import objects as store_of
+
+    store, root = place
+    documents = store.read("documents")
+    by_path = {r.doc_id: r.content for r in store_of.with_content(documents, root).collect()}
+    assert by_path["f"] == b"broken" and by_path["z"] is None and len(by_path) == len(FILES) + 1
+    monkeypatch.setattr(store_of, "BY_PATH", 2)
+    assert {r.doc_id: r.content for r in store_of.with_content(documents, root).collect()} == by_path
+    none = store_of.with_content(documents.filter("doc_id = 'z'"), root).collect()
+    assert [r.content for r in none] == [None]
+    assert store_of.list_objects(spark, root, "raw/construction").count() == 2
+
+
+def test_sql_functions(spark):
+    from tarnwork.functions.register import register
+
+    register(spark)
+    row = spark.sql("SELECT normalize_text(' A  b ') AS n, text_simhash('a b') AS s, split_chunks('aaaa. bbbb. cccc.', 12, 6) AS c").first()
+    assert row.n == "a b" and row.s > 0 and row.c == ["aaaa. bbbb.", "bbbb. cccc."]
