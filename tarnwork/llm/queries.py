@@ -70,7 +70,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_secrets, op4_substring_dedup, op5_quality_rules, op6_bpe, op7_mixture, op8_quality, op9_sharding, op10_simhash)}
 
+def _sharding_sql() -> str:
+    """CRC-32 by its table over the bytes, and the Feistel rounds and walks as a recursion."""
+    table = "range(256)"
+    for _ in range(8):
+        table = f"list_transform({table}, lambda x: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    keys, rounds, size = [int(k) for k in sharding.Permutation(2).keys], sharding.ROUNDS, "18446744073709551616::UHUGEINT"
+    return f"""WITH RECURSIVE c AS (SELECT {table} AS t), l AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: CAST('0x' || p AS BIGINT)) AS bytes FROM documents),
+d AS (SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(xor(list_reduce(bytes, lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS BIGINT) AS text_crc32 FROM l, c),
+n AS (SELECT count(*)::UBIGINT AS n, greatest(1, (length(bin(greatest(1, count(*) - 1))) + 1) // 2)::UBIGINT AS half FROM documents), r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_number FROM documents),
+f AS (SELECT doc_id, row_number, n, half, (1::UBIGINT << half) - 1 AS mask, row_number::UBIGINT >> half AS a, row_number::UBIGINT & ((1::UBIGINT << half) - 1) AS b, 0 AS k FROM r, n
+UNION ALL SELECT doc_id, row_number, n, half, mask, b, xor(a, xor(z, z >> 31) & mask), k + 1 FROM (SELECT *, CAST(xor(y, y >> 27)::UHUGEINT * 10723151780598845931 % {size} AS UBIGINT) AS z FROM
+  (SELECT *, CAST(xor(x, x >> 30)::UHUGEINT * 13787848793156543929 % {size} AS UBIGINT) AS y FROM (SELECT *, xor(b, ({keys}::UBIGINT[])[k % {rounds} + 1]) AS x FROM f WHERE k = 0 OR k % {rounds} > 0 OR (a << half | b) >= n)))),
+p AS (SELECT doc_id, row_number, CAST(a << half | b AS BIGINT) AS place FROM f WHERE k > 0 AND k % {rounds} = 0 AND (a << half | b) < n)
+SELECT d.doc_id, d.size, d.text_crc32, 'rows' AS law, CAST(place % 16 AS INT) AS shard, place // 16 AS slot, CAST(NULL AS INT) AS grown_shard, row_number FROM d JOIN p ON d.doc_id = p.doc_id"""
+
+
 ORACLES: dict[str, str] = {
+    "op9_sharding": _sharding_sql(),
     "op1_exact_dedup": """WITH g AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size, doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256 FROM g""",
     "op4_substring_dedup": r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
