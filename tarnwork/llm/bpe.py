@@ -26,7 +26,7 @@ from .common import add_columns
 #: Fixed value of the public tokenizer's byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Encoded pre-tokens that a worker remembers, twice: those of late, and the as many before them.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 def _byte_of_char() -> dict[str, int]:
