@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm import bpe, exact_dedup, mixture, quality, simhash
+from tarnwork.llm import bpe, exact_dedup, mixture, near, quality
 from tarnwork.llm.common import Scratch
 
 #: Documents that score below this go.
@@ -29,8 +29,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates, with the shingles and the radius of op10."""
-    return simhash.keep_one(docs)
+    """One document of each component of near-duplicates: shingles of five words, Jaccard similarity of 0.8 or more."""
+    return near.keep_one(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +43,9 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("quality classifier", quality_stage), ("exact dedup", exact_stage), ("simhash near-dedup", near_stage), ("mixing to target weights", mixing_stage), ("bpe encoding", encoding_stage)]
+STAGES = [("quality classifier", quality_stage), ("exact dedup", exact_stage), ("near-dedup", near_stage), ("mixing to target weights", mixing_stage), ("bpe encoding", encoding_stage)]
 
-#: SQL can't express a trained network, fingerprint components or a tokenizer; tests hold the stages against brute force.
+#: SQL can't express a trained network, similarity components or a tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

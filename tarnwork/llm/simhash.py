@@ -17,7 +17,7 @@ empty result. Only the named columns are read by near_duplicates; the others can
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -220,19 +220,29 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     scratch = Scratch(df.sparkSession)
     slim = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(text_or_empty(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
     printed = scratch.write(with_fingerprint(slim, "text", "fp", shingle).drop("text"))
+    return named(printed, lambda distinct, n: links(distinct, n, radius), scratch)
+
+
+def named(printed: DataFrame, edges: DataFrame | Callable[[DataFrame, int], DataFrame], scratch: Scratch) -> DataFrame:
+    """printed (doc_id, text_hash, fp) with root, component_id and component_rows by edges (a, b) of fp, or what makes them of distinct fp and their number."""
     distinct = scratch.write(printed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), rows=printed.count())
     n = distinct.count()
-    roots = scratch.write(components(links(distinct, n, radius), scratch), rows=n)
+    roots = scratch.write(components(edges(distinct, n) if callable(edges) else edges, scratch), rows=n)
     rooted = scratch.write(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "least", "n"), rows=n)
-    named = scratch.write(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_rows")), rows=n)
-    by_print = scratch.write(rooted.select("fp", "root").join(named, "root"), rows=n)
+    groups = scratch.write(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_rows")), rows=n)
+    by_print = scratch.write(rooted.select("fp", "root").join(groups, "root"), rows=n)
     return printed.join(by_print, "fp")
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
     """The rows of df without all but one of each component: the row with the smallest doc_id stays (null is last; of several, the least text hash)."""
+    return keep_first(df, near_duplicates(df, doc_id, text, shingle, radius), doc_id, text)
+
+
+def keep_first(df: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """keep_one for given groups: doc_id, text_hash and root of each row of df."""
     scratch = Scratch(df.sparkSession)
-    groups = scratch.write(near_duplicates(df, doc_id, text, shingle, radius))
+    groups = scratch.write(groups)
     rows = groups.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "n")).alias("s")
     stays = scratch.write(rows.groupBy("root").agg(first).select(F.col("s.doc_id").alias("__keep"), F.col("s.text_hash").alias("__hash"), F.col("s.n").alias("__n")), rows=groups.count())
