@@ -2,7 +2,8 @@
 
 Candidates are the base matches and every run of token characters that holds letters and digits and is long enough.
 A numpy network with one convolution over character classes, global pooling and a dense layer scores each candidate
-with CONTEXT characters on either side. It is trained on labelled findings: examples in seeded formats of credentials,
+with CONTEXT characters on either side; of a candidate beyond SPAN characters the highest score of its windows and
+parts counts, so that none of it goes unseen. It is trained on labelled findings: examples in seeded formats of credentials,
 and look-alikes (words, numbers, addresses, dates, links, plain identifiers), each in a context of words. A part
 of them is held back; on it scores are calibrated, and the threshold is the largest whose recall has an exact lower
 confidence bound of at least RECALL. Base matches always stay; the network adds spans of kind "model".
@@ -34,6 +35,8 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 CONTEXT, SPAN = 16, 48
+#: What long candidates are also cut at, into parts of so many characters at least.
+PART, PART_CHARS = re.compile(r"[A-Za-z0-9]+"), 16
 LENGTH = CONTEXT + SPAN + CONTEXT
 RECALL, MISS = 0.95, 0.05
 _CLASSES = 17
@@ -62,6 +65,16 @@ def encode(text: str, start: int, end: int) -> np.ndarray:
     return out
 
 
+def views(text: str, start: int, end: int) -> list[np.ndarray]:
+    """All that is scored of a candidate: itself, and of one beyond SPAN also overlapping windows of SPAN over all of it and its parts between separators."""
+    out = [encode(text, start, end)]
+    if end - start > SPAN:
+        out += [encode(text, a, a + SPAN) for a in [*range(start, end - SPAN, SPAN // 2), end - SPAN]]
+        parts = [m.span() for m in PART.finditer(text, start, end) if m.end() - m.start() >= PART_CHARS and re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
+        out += [encode(text, a, b) for a, b in parts if (a, b) != (start, end)]
+    return out
+
+
 class Network:
     """One-hot classes, convolution of width 5, ReLU, maximum and mean over places, dense, sigmoid."""
 
@@ -208,14 +221,16 @@ def find_secrets(df: DataFrame, net: Network | None = None, text: str = "text")
 
     def make():
         def batch(texts: list[bytes]) -> list[list]:
-            rows, windows = [], []
+            rows, windows, first = [], [], []  # first: of each candidate's windows
             for t in texts:
                 s = t.decode("utf-8", "replace")
                 base = base_spans(s, t)
                 more = candidates(s, t, base)
-                rows.append((base, more, len(windows)))
-                windows += [encode(s, a, b) for a, b in [(a, b) for a, _, b in base] + more]
-            scores = net.score(np.array(windows)) if windows else np.zeros(0)
+                rows.append((base, more, len(first)))
+                for a, b in [(a, b) for a, _, b in base] + more:
+                    first.append(len(windows))
+                    windows += views(s, a, b)
+            scores = np.maximum.reduceat(net.score(np.array(windows)), first) if windows else np.zeros(0)
             out = []
             for base, more, at in rows:
                 own = [(a, k, b, scores[at + i]) for i, (a, k, b) in enumerate(base)]
