@@ -159,7 +159,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, s
     """(doc_id, y, kind) of at most sample rows a kind, none of them held out: those with the lowest hashes of the id, so the same in any order."""
     order = (_place(), F.col("doc_id"))
     known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    own = _sampled(known, labels.count(), sample).groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(*order).limit(sample).withColumn("kind", F.lit("labelled"))
+    own = _sampled(known, known.count(), sample).groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(*order).limit(sample).withColumn("kind", F.lit("labelled"))
     if not unlabelled:
         return own
     ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id")).filter(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
