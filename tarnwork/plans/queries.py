@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import keys, models, resilience, text
 from ..operators import search, stages, tables
 from ..streaming.ingest import ingest_stream
-from .ship import ship
+from .ship import shared_folder, ship
 from .spread import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -308,7 +307,7 @@ def embed_batches(read, spark, sf_dir):
 @_query(f"WITH RECURSIVE {_SQL_CHUNKS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, chunk_hash, min(chunk_no) AS chunk_no FROM hashed GROUP BY doc_id, chunk_hash")
 def stream_ingest(read, spark, sf_dir):
     """The stream twice over the same files: the second run finds nothing new, and the table equals a batch run's."""
-    top = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='tarnwork-')}/stream-{uuid.uuid4().hex}"
+    top = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     # A stream reads folders; the test tables have documents as one file or as a folder.
     pattern = f"{sf_dir}/documents.parquet*"
     for _ in range(2):

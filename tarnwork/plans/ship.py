@@ -1,7 +1,8 @@
-"""Make this package importable on executors."""
+"""What driver and executors share: this package's sources, and a folder."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -28,3 +29,19 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(top.parent))
     spark.sparkContext.addPyFile(str(path))
     _shipped.add(app)
+
+
+_own_folder: str | None = None
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir; one of our own only where driver and executors are one machine's process."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share; a machine-local one would lose rows")
+    global _own_folder
+    if _own_folder is None:
+        _own_folder = f"file://{tempfile.mkdtemp(prefix='tarnwork-')}"
+    return _own_folder
