@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.llm import bpe, exact_dedup, mixture, near, quality
-from tarnwork.llm.common import Scratch
+from tarnwork.llm.common import Scratch, unused
 
 #: Documents that score below this go.
 KEEP_SCORE = 0.3
@@ -20,7 +20,8 @@ KEEP_SCORE = 0.3
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least KEEP_SCORE."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, model, name="__quality").filter(F.col("__quality") >= KEEP_SCORE).select(*(F.col(f"`{c}`") for c in docs.columns))
+    score = unused(docs.columns, "quality_score")
+    return quality.score_quality(docs, model, name=score).filter(F.col(score) >= KEEP_SCORE).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +40,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their token ids and the decoded text."""
-    return bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Documents with their token ids and the decoded text, under names that no column of theirs has."""
+    return bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), ids=unused(docs.columns, "ids"), decoded=unused(docs.columns, "decoded"))
 
 
-STAGES = [("quality classifier", quality_stage), ("exact dedup", exact_stage), ("near-dedup", near_stage), ("mixing to target weights", mixing_stage), ("bpe encoding", encoding_stage)]
+STAGES = [("quality classifier", quality_stage), ("exact dedup", exact_stage), ("simhash near-dedup", near_stage), ("mixing to target weights", mixing_stage), ("bpe encoding", encoding_stage)]
 
 #: SQL can't express a trained network, similarity components or a tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -52,8 +53,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each from the written result of the one before."""
     scratch, docs = Scratch(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES[:-1]):
+    for _, stage in STAGES[:-1]:
         docs = scratch.write(stage(spark, docs, sf_dir))
-        if k:
-            scratch.drop(k - 1)  # only the newest is read from here on
+        scratch.keep(docs)  # only the newest is read from here on
     return STAGES[-1][1](spark, docs, sf_dir)

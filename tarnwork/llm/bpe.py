@@ -186,8 +186,8 @@ def load(path: str) -> ByteBpe:
     return _loaded[path]
 
 
-def encode_and_decode(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """df with ids array<int> and decoded string of each whole text.
+def encode_and_decode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """df with the token ids, array<int>, and the decoded string of each whole text.
 
     tokenizer: path of a byte-level BPE file in the tokenizers library's format, present on every executor.
     """
@@ -197,17 +197,17 @@ def encode_and_decode(df: DataFrame, tokenizer: str, text: str = "text") -> Data
 
         def batch(texts: list[bytes]) -> list[pa.Array]:
             packed = [bpe.encode(t.decode("utf-8", "replace")) for t in texts]
-            ids = np.frombuffer(b"".join(packed), np.uint32).astype(np.int64)
+            numbers = np.frombuffer(b"".join(packed), np.uint32).astype(np.int64)
             bounds = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int64)
-            data, ends = bpe.decode(ids)
+            data, ends = bpe.decode(numbers)
             ends = np.concatenate([[0], ends])[bounds]
             data = data.tobytes()
-            decoded = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            return [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32))), pa.array(decoded, pa.string())]
+            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            return [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(numbers.astype(np.int32))), pa.array(texts, pa.string())]
 
         return batch
 
-    return add_columns(df, [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())], make, text)
+    return add_columns(df, [T.StructField(ids, T.ArrayType(T.IntegerType(), False)), T.StructField(decoded, T.StringType())], make, text)
 
 
 def digests(df: DataFrame) -> DataFrame:

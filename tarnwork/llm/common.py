@@ -5,18 +5,18 @@ A word is a run of bytes other than space and 0x09-0x0D, which is the same in UT
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.ship import ship
+from ..plans.ship import shared_folder, ship
 
 #: Text that one call of a batch function sees, in bytes; a longer document comes alone.
 BATCH_BYTES = 2 << 20
@@ -46,27 +46,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the cluster names none."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        global _own_folder
-        if _own_folder is None:
-            _own_folder = tempfile.mkdtemp(prefix="tarnwork-")
-        named = f"file://{_own_folder}"
-    return named.rstrip("/")
-
-
-_own_folder: str | None = None
-
-
 class Scratch:
     """Tables written once into the shared folder: they cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession):
         ship(spark)
         self.spark, self.top = spark, f"{shared_folder(spark)}/tarnwork-{uuid.uuid4().hex}"
-        self.n = 0
+        self.n, self.tables = 0, []
 
     def write(self, df: DataFrame, rows: int | None = None) -> DataFrame:
         """rows: at most so many are to come, all small; then no more files than they need are written."""
@@ -75,12 +61,29 @@ class Scratch:
         if rows is not None:
             df = df.coalesce(max(12, rows // ROWS_A_FILE))
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((table, path))
+        return table
 
-    def drop(self, number: int) -> None:
-        """Remove a table that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.top}/{number}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *used: DataFrame) -> None:
+        """Remove tables that nothing reads any more."""
+        for table, path in self.tables:
+            if any(table is x for x in used):
+                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        self.tables = [(t, p) for t, p in self.tables if not any(t is x for x in used)]
+
+    def keep(self, *needed: DataFrame) -> None:
+        """Remove all tables but those that are still to be read."""
+        self.drop(*(t for t, _ in self.tables if not any(t is x for x in needed)))
+
+
+def unused(columns: list[str], name: str) -> str:
+    """A column name that none of columns has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -126,18 +129,6 @@ def add_columns(df: DataFrame, fields: list[T.StructField], make: Callable[[], C
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers = _inverses = np.ones(1, np.uint64)
-
-
-def _grow(n: int) -> None:
-    global _powers, _inverses
-    if len(_powers) < n:
-        n = max(n, 2 * len(_powers))
-        _powers, _inverses = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]), dtype=np.uint64) for x in (_BASE, _INVERSE))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -145,28 +136,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Zero to eight low bytes of a 64-bit number.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_ROUND = np.uint64(0xD6E8FEB86659FD93)
+#: Words that are hashed at a time; bytes beyond which a word goes to a library's hash.
+BLOCK_WORDS, LONG_WORD = 1 << 19, 256
+
+
 class Words:
     """The words of some documents: byte ranges in one buffer, and for each document its range of words."""
 
     def __init__(self, texts: list[bytes]):
-        self.buffer = b"\n".join(texts) + b"\n"
-        self.bytes = np.frombuffer(self.buffer, np.uint8)
+        self.buffer = b"\n".join([*texts, b"\n" * 8])
+        self.offsets = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))])
+        self.bytes = np.frombuffer(self.buffer, np.uint8, int(self.offsets[-1]))
         blank = _IS_SPACE[self.bytes]
         edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-        if not blank[0]:
+        if len(blank) and not blank[0]:
             edge = np.concatenate([[0], edge])
         self.starts, self.ends = edge[0::2], edge[1::2]
-        self.offsets = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))])
         self.first = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.first)
 
-    def hashes(self, data: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
-        data = self.bytes if data is None else data
-        _grow(len(data) + 1)
-        cum = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[: len(data)], dtype=np.uint64, out=cum[1:])
-        return mix((cum[self.ends] - cum[self.starts]) * _inverses[self.starts])
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes: their number, then eight bytes after the other, mixed in one by one, so that no words but by chance share one."""
+        data = np.ndarray((len(self.buffer) - 7,), "<u8", self.buffer, strides=(1,))
+        out = np.empty(len(self.starts), np.uint64)
+        for k in range(0, len(out), BLOCK_WORDS):
+            at, size = self.starts[k : k + BLOCK_WORDS], self.ends[k : k + BLOCK_WORDS] - self.starts[k : k + BLOCK_WORDS]
+            h = mix(mix(size.astype(np.uint64) + np.uint64(seed << 48)) ^ (data[at] & _LOW[np.minimum(size, 8)]))
+            rows, done = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+            while len(rows):
+                h[rows] = mix(h[rows] * _ROUND + (data[at[rows] + done] & _LOW[np.minimum(size[rows] - done, 8)]))
+                done += 8
+                rows = rows[size[rows] > done]
+            for i in np.flatnonzero(size > LONG_WORD).tolist():
+                h[i] = xxhash.xxh64_intdigest(memoryview(self.buffer)[at[i] : at[i] + size[i]], seed)
+            out[k : k + BLOCK_WORDS] = h
+        return out
 
 
 def per_document(values: np.ndarray, first: np.ndarray, how: np.ufunc, empty: float) -> np.ndarray:

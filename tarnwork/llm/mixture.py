@@ -6,11 +6,13 @@ which each is full). A source's weight runs linearly over training time; its int
 the source's cumulative demand. Documents of a source stand in a fixed pseudo-random order; their cumulative words
 are inverted through that demand, which gives each a training position in [0, 1]; the output is range-sorted by it.
 
-Cumulative words come from two levels, so that no task gets a whole source: sums of small buckets of a source,
-their prefix, and a running sum in each bucket.
+Cumulative words come from three levels, so that no task gets a whole source: sums of blocks of small buckets of a
+source and their prefix, that of the buckets of a block, and a running sum in each bucket. Only the sources themselves
+are ranked in one task, one row a source.
 
 A document without words (null or blank text) has size 0 and nothing is taken of it. Null is a source of its own,
-last. Repeated rows count as often as they occur; which of several identical rows a boundary falls into makes no
+last. Rows with one id and text in several sources, or with an id that is null and one that is called null, stay
+apart. Repeated rows count as often as they occur; which of several identical rows a boundary falls into makes no
 difference to the result. A table without rows gives no rows. Only the named columns are read.
 """
 
@@ -23,6 +25,8 @@ from .common import Scratch, text_or_empty, word_array
 
 #: Rows of a source in one bucket, about.
 BUCKET_ROWS = 500
+#: Buckets of a block.
+BLOCK_BUCKETS = 1000
 CAP = 3
 WEIGHTS = (1.0, 2.0, 3.0)
 #: Start and end of a source's weight over training, as multiples of it, repeating by source.
@@ -53,19 +57,34 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
     return held.select("source", "source_size", "n_docs", "rank", target.alias("target"))
 
 
-def placed(df: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """One row per row of df: doc_id, source, size, order_key, source_size, target, rank, before (words of the source before it), taken."""
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.md5(text_or_empty(text).cast("binary"))).cast("binary"))
-    sized = scratch.write(df.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), F.size(word_array(text_or_empty(text))).cast("long").alias("size"), key.alias("order_key")))
+def _key(doc_id: str, text: str, source: str, others: list[str]) -> Column:
+    """What orders the rows of a source: only rows that are alike in all of these share it. Nulls differ from every text."""
+    flagged = lambda c, mark: F.coalesce(F.concat(F.lit(mark), F.col(f"`{c}`").cast("string")), F.lit("null"))
+    rest = [F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in others))).cast("binary"))] if others else []
+    return F.md5(F.concat_ws(":", flagged(source, "s"), flagged(doc_id, "i"), F.md5(text_or_empty(f"`{text}`").cast("binary")), *rest).cast("binary"))
+
+
+def _before(sums: DataFrame) -> DataFrame:
+    """(rank, bucket, offset): words of a source before a bucket, from (rank, bucket, words). Through blocks of buckets, so that no task gets all buckets of a source."""
+    sums = sums.withColumn("block", F.floor(F.col("bucket") / BLOCK_BUCKETS))
+    earlier = lambda by, of: F.coalesce(F.sum("words").over(Window.partitionBy(*by).orderBy(of).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = sums.groupBy("rank", "block").agg(F.sum("words").alias("words")).select("rank", "block", earlier(["rank"], "block").alias("of_block"))
+    inside = sums.select("rank", "block", "bucket", earlier(["rank", "block"], "bucket").alias("in_block"))
+    return inside.join(blocks, ["rank", "block"]).select("rank", "bucket", (F.col("of_block") + F.col("in_block")).alias("offset"))
+
+
+def placed(df: DataFrame, scratch: Scratch, key: Column, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """One row per row of df: doc_id, source, size, order_key (key), source_size, target, rank, before (words of the source before it), taken."""
+    size = F.size(word_array(text_or_empty(f"`{text}`"))).cast("long")
+    sized = scratch.write(df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), size.alias("size"), key.alias("order_key")))
     n = sized.count()
     targets = scratch.write(source_targets(sized, weights, cap), rows=1)
     hashed, buckets = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long"), F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long")
     t = targets.withColumnRenamed("source", "t_source")
     rows = sized.join(t, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     rows = scratch.write(rows.withColumn("bucket", F.floor(hashed * buckets / F.lit(1 << 32)).cast("long")))
-    sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = scratch.write(sums.select("rank", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")), rows=n)
+    offsets = scratch.write(_before(rows.groupBy("rank", "bucket").agg(F.sum("size").alias("words"))), rows=n)
+    scratch.keep(rows, offsets)
     within = Window.partitionBy("rank", "bucket").orderBy("order_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = rows.withColumn("before", F.sum("size").over(within) - F.col("size")).join(offsets, ["rank", "bucket"])
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -87,7 +106,7 @@ def position(words: Column, ramps: tuple[tuple[float, float], ...] = RAMPS) -> C
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per row of df with what the mix takes of it and its first training position (null if nothing is taken), in order of position."""
-    rows = placed(df, Scratch(df.sparkSession), doc_id, text, source, weights, cap)
+    rows = placed(df, Scratch(df.sparkSession), _key(doc_id, text, source, []), doc_id, text, source, weights, cap)
     first = F.when(F.col("taken") > 0, position(F.col("before")))
     return rows.select("doc_id", "size", "source_size", "target", "taken", first.alias("position")).repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")
 
@@ -95,12 +114,13 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
 def mixed_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of df as the mix takes them: as many whole copies as passes (the last if at least half of it is taken), range-sorted by training position."""
     scratch = Scratch(df.sparkSession)
-    rows = placed(df, scratch, doc_id, text, source, weights, cap)
+    key = _key(doc_id, text, source, [c for c in df.columns if c not in (doc_id, text, source)])
+    rows = placed(df, scratch, key, doc_id, text, source, weights, cap)
     copies = F.col("passes") + F.when((F.col("extra") > 0) & (2 * F.col("extra") >= F.col("size")), 1).otherwise(0)
-    plan = scratch.write(rows.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0)).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1))).select("order_key", position(F.col("before") + F.col("copy") * F.col("source_size")).alias("position")))
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null")), F.md5(text_or_empty(f"`{text}`").cast("binary"))).cast("binary"))
+    copied = rows.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0)).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
+    plan = scratch.write(copied.select("order_key", position(F.col("before") + F.col("copy") * F.col("source_size")).alias("position")))
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row"), key.alias("order_key"))
-    if not rows.groupBy("order_key").count().filter("count > 1").isEmpty():  # identical rows have one key, and one of them stands for all
+    if not rows.groupBy("order_key").count().filter("count > 1").isEmpty():  # rows that are alike in every column: one of them stands for all
         packed = packed.groupBy("order_key").agg(F.first("__row").alias("__row"))
     joined = packed.join(plan, "order_key").repartitionByRange(F.col("position"), F.col("order_key")).sortWithinPartitions("position", "order_key")
     return joined.select(*(F.col("__row").getField(c).alias(c) for c in df.columns))

@@ -1,16 +1,19 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles: every pair of at least SIMILARITY is linked, and no other.
+"""Operator 10 at five-word shingles and a Jaccard similarity of SIMILARITY or more: every such pair is linked, and no other.
+
+Fingerprints of five-word shingles go through the vantage-point trees of operator 10, and the links found are verified
+by the exact similarity of the sets of shingles. A radius that held all pairs of similarity 0.8 (about 13 of 64 bits)
+would overlap every shard, and the operator's own radius holds few of them; so the links are completed exactly.
 
 A text's set holds the hashes of its shingles of SHINGLE words (ASCII white space, A-Z lower-cased); texts with fewer
 words are one shingle, null and blank texts the empty set, and equal sets are one node. Candidates come from prefix
 filtering: in any common order of all shingles, two sets of n and m shingles that are similar enough share one of the
 first n - ceil(SIMILARITY n) + 1 of the one and of the other. The order is by hash, with the shingles of many sets
-(at most COMMON of them, more only cost time) last, so that common passages make no candidates. Candidates are checked
-by their whole sets.
-
-Sets that share a shingle there are compared by parity bitmaps, whose differing bits never outnumber the shingles that
-only one of two sets has: this drops no pair that is similar enough. What is left is compared by whole sets, in two
-turns: first a spanning forest of each part's candidates, then every candidate pair whose sets are still in different
-components, so that large groups of near copies cost rows in proportion to their size.
+(at most COMMON of them, more only cost time) last, so that common passages make no candidates. Sets that share a
+shingle there are compared by parity bitmaps, whose differing bits never outnumber the shingles that only one of two
+sets has: this drops no pair that is similar enough. What is left is compared by whole sets, in two turns: first the
+links of the trees and those of a few neighbours under each shingle, then every candidate pair whose sets are still in
+different components. So a large group of near copies costs rows in proportion to its size. Sets under one shingle are
+dealt to blocks of at most about BLOCK_SETS, and pairs of blocks to different tasks, so that no task gets them all.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ SHINGLE = 5
 OF, ALL = 4, 5
 #: Shingles that go last, of those that more than OFTEN sets would be found by.
 COMMON, OFTEN = 100_000, 20
-#: 64-bit words of a bitmap; candidate rows of a part, about.
-BITS, PART_ROWS = 16, 20_000
+#: 64-bit words of a bitmap; candidate rows of a part, about; sets of a block under one shingle, about; neighbours of the first turn.
+BITS, PART_ROWS, BLOCK_SETS, NEIGHBOURS = 16, 20_000, 5_000, 4
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -75,33 +78,34 @@ def summaries(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return name, n, np.packbits(odd, axis=1)
 
 
-def close(keys: np.ndarray, names: np.ndarray, sizes: np.ndarray, bits: np.ndarray, roots: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of names under one key whose sizes and bitmaps allow the similarity: those of different roots, or without roots as many as connect all."""
-    order = np.lexsort((names, keys))
-    keys, names, sizes, bits = keys[order], names[order], sizes[order], bits[order]
-    end = np.searchsorted(keys, keys, "right")
-    known, at = np.unique(names, return_inverse=True)
-    forest, found, step, left = simhash.Forest(len(known)), [], 0, np.arange(len(keys))
-    while True:
+def close(keys: np.ndarray, names: np.ndarray, sizes: np.ndarray, bits: np.ndarray, roots: np.ndarray | None, blocks: np.ndarray | None = None, across: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of names under one key whose sizes and bitmaps allow the similarity: those of different roots, and of different blocks where across says so; without roots only those of near neighbours."""
+    within = np.zeros(len(keys), np.int64) if roots is None else roots
+    order = np.lexsort((names, within, keys))
+    keys, names, sizes, bits, within = keys[order], names[order], sizes[order], bits[order], within[order]
+    end, at = np.searchsorted(keys, keys, "right"), np.arange(len(keys))
+    if roots is None:
+        end, partner = np.minimum(end, at + 1 + NEIGHBOURS), at + 1
+    else:  # past the rows of one's own root
+        new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (within[1:] != within[:-1])])) if len(keys) else at
+        partner = np.repeat(np.append(new[1:], len(keys)), np.diff(np.append(new, len(keys))))
+        blocks, across = blocks[order], across[order]
+    found, step = [], 0
+    while len(at := at[partner[at] + step < end[at]]):
+        for k in range(0, len(at), 1 << 18):
+            a = at[k : k + (1 << 18)]
+            b = partner[a] + step
+            fit = (ALL * np.minimum(sizes[a], sizes[b]) >= OF * np.maximum(sizes[a], sizes[b])) & (names[a] != names[b])
+            if roots is not None:
+                fit &= ~across[a] | (blocks[a] != blocks[b])
+            a, b = a[fit], b[fit]
+            fit = (OF + ALL) * np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64) <= (ALL - OF) * (sizes[a] + sizes[b])
+            a, b = names[a[fit]], names[b[fit]]
+            if len(a):
+                found.append(np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0))
         step += 1
-        left = left[left + step < end[left]]
-        if not len(left):
-            break
-        a, b = left, left + step
-        fit = (ALL * np.minimum(sizes[a], sizes[b]) >= OF * np.maximum(sizes[a], sizes[b])) & (names[a] != names[b])
-        if roots is not None:
-            fit &= roots[order[a]] != roots[order[b]]
-        a, b = a[fit], b[fit]
-        fit = (OF + ALL) * np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64) <= (ALL - OF) * (sizes[a] + sizes[b])
-        a, b = at[a[fit]], at[b[fit]]
-        if roots is None:
-            apart = forest.roots(a) != forest.roots(b)
-            a, b = a[apart], b[apart]
-            forest.link(a, b)
-        if len(a):
-            found.append(np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0))
     pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return known[pairs[:, 0]], known[pairs[:, 1]]
+    return pairs[:, 0], pairs[:, 1]
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -110,8 +114,18 @@ def similar(a: bytes, b: bytes) -> bool:
     return ALL * both >= OF * (len(x) + len(y) - both)
 
 
+def _tree_links(printed: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints are equal or linked by vantage-point trees, as many as connect all of these."""
+    first = scratch.write(printed.groupBy("print").agg(F.min("fp").alias("first")))
+    edges = simhash.links(first.select(F.col("print").alias("fp")), scratch)
+    of = lambda c: first.select(F.col("print").alias(c), F.col("first").alias(f"of_{c}"))
+    linked = edges.join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    equal = printed.select("print", "fp").distinct().join(first, "print").filter("fp <> first").select(F.col("first").alias("a"), F.col("fp").alias("b"))
+    return scratch.write(linked.unionByName(equal))
+
+
 def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -> DataFrame:
-    """Edges (a, b) that connect what pairs of similar sets connect. printed: text_hash, fp, n and bits of the rows of df."""
+    """Edges (a, b) that connect what pairs of similar sets connect. printed: text_hash, fp, n, bits and print of the rows of df."""
     texts = df.select(text_or_empty(f"`{text}`").alias("text"))
     fields = [T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType(), False))]
 
@@ -130,17 +144,29 @@ def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -
     found = scratch.write(keys(common))
     shared = scratch.write(found.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low < high").select("key"))
     members = scratch.write(found.join(shared, "key").distinct())
+    scratch.drop(found, shared)
     sets = scratch.write(printed.select("fp", "n", "bits").join(members.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
-    parts = max(256, members.count() // PART_ROWS)
     rows = scratch.write(members.join(sets, "fp"))
+    scratch.drop(members, sets)
+
+    def blocked(of: DataFrame, rooted: bool) -> DataFrame:
+        """of with block, the part that a row goes to, and whether only pairs of different blocks are asked for there."""
+        large = scratch.write(of.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK_SETS)).cast("int").alias("blocks")).filter("blocks > 1"))
+        dealt = of.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if rooted else F.col("block")
+        both = dealt.withColumn("other", other).withColumn("across", F.col("block") != F.col("other"))
+        return both.withColumn("key", F.when(F.col("blocks") > 1, F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.col("key"))).drop("blocks", "other")
 
     def pairs(of: DataFrame, rooted: bool) -> DataFrame:
+        parts = max(256, of.count() // PART_ROWS)
+
         def within(table: pa.Table) -> pa.Table:
             bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint64).reshape(-1, BITS)
-            a, b = close(*(np.asarray(table[c]) for c in ("key", "fp", "n")), bits, np.asarray(table["root"]) if rooted else None)
+            own = [np.asarray(table[c]) for c in ("root", "block")] + [np.asarray(table["across"]).astype(bool)] if rooted else [None]
+            a, b = close(*(np.asarray(table[c]) for c in ("key", "fp", "n")), bits, *own)
             return pa.table({"a": a, "b": b})
 
-        return of.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part").applyInArrow(within, "a long, b long").distinct()
+        return blocked(of, rooted).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part").applyInArrow(within, "a long, b long").distinct()
 
     def checked(candidates: DataFrame) -> DataFrame:
         """Candidates whose whole sets are similar."""
@@ -166,24 +192,28 @@ def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -
 
         return scratch.write(candidates.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(keep, "a long, b long"))
 
-    linked = checked(pairs(rows, False))
+    linked = checked(pairs(rows, False).unionByName(_tree_links(printed, scratch)).distinct())
     roots = scratch.write(simhash.components(linked, scratch))
-    rest = checked(pairs(rows.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", "bits", F.coalesce("root", "fp").alias("root")), True))
-    return linked.unionByName(rest)
+    rooted = scratch.write(rows.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", "bits", F.coalesce("root", "fp").alias("root")))
+    apart = scratch.write(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key"))
+    scratch.drop(rows)
+    return linked.unionByName(checked(pairs(scratch.write(rooted.join(apart, "key", "left_semi")), True)))
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of df without all but one of each component of similar texts, as simhash.keep_one chooses it."""
     scratch = Scratch(df.sparkSession)
     slim = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(text_or_empty(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
-    fields = [T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bits", T.BinaryType())]
+    fields = [T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("print", T.LongType())]
 
     def make():
         def batch(t: list[bytes]) -> list:
             name, n, bits = summaries(*shingle_sets(t))
-            return [name.view(np.int64), n, [x.tobytes() for x in bits]]
+            return [name.view(np.int64), n, [x.tobytes() for x in bits], simhash.fingerprints(t, SHINGLE).view(np.int64)]
 
         return batch
 
     printed = scratch.write(add_columns(slim, fields, make).drop("text"))
-    return simhash.keep_first(df, simhash.named(printed.drop("n", "bits"), near_links(df, printed, scratch, text), scratch), doc_id, text)
+    edges = scratch.write(near_links(df, printed, scratch, text))
+    scratch.keep(printed, edges)
+    return simhash.keep_first(df, simhash.named(printed, edges, scratch), doc_id, text)

@@ -1,16 +1,17 @@
 """Quality classifier by positive-unlabelled learning with the non-negative risk estimator.
 
-Trusted positives are labelled good documents, the unlabelled sample is drawn from all documents without looking at
-labels. The share of good documents among the unlabelled (the class prior) is estimated from the scores of a first
-positive-against-unlabelled model: the least ratio of the two score distributions over all thresholds, with a margin
-for sampling error. A small network then minimises the unbiased risk, whose estimate for negatives is not allowed
-below zero. Scores are calibrated on the labelled rows that may be used, so that they read as probabilities.
+Trusted positives are labelled good documents; no other label is read. The unlabelled sample is drawn from all
+documents without looking at labels. The share of good documents (the class prior) is estimated from the scores that a
+first positive-against-unlabelled model gives to all documents that are not held out: the least ratio of the two
+score distributions over all thresholds, with a margin for sampling error. A small network then minimises the unbiased
+risk, whose estimate for negatives is not allowed below zero. Its output is turned into a probability by the same
+risk: a logistic slope and shift fitted on positives, unlabelled rows and the prior.
 
 Features are computed from the whole text only: shares of character classes, lengths and repetition of words,
 repeated word sequences and lines. Null and blank texts have all features zero and get a score like any other.
-Repeated rows give equal scores. Without any usable labels every score is 0.5. A column that has the name of the score is replaced.
+Repeated rows give equal scores. Without any usable good label every score is 0.5. A column that has the name of the score is replaced.
 
-SAMPLE bounds the rows of each kind (labelled, unlabelled) that the model is fitted on.
+SAMPLE bounds the rows of each kind (labelled, unlabelled) that the model is fitted on, after the join of labels and texts.
 """
 
 from __future__ import annotations
@@ -21,10 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, add_columns, held_out, mix, per_document, text_or_empty
+from .common import Scratch, Words, add_columns, held_out, mix, per_document, text_or_empty
 
 SAMPLE = 8000
+#: Bytes of the texts of a kind that the driver may be sent, where a model is fitted on texts.
+SAMPLE_BYTES = 6 << 20
 SEED = 7
+BLOCK_BYTES = 1 << 20
+#: Bins of the scores from which the class prior is read.
+BINS = 70
 _CLASSES = 9
 
 
@@ -36,30 +42,57 @@ def _character_classes() -> np.ndarray:
 
 
 _CLASS = _character_classes()
+_MARK = np.isin(np.arange(_CLASSES), (3, 5)).astype(np.int64)
+
+
+def _class_counts(w: Words) -> np.ndarray:
+    """Bytes of each class in each text, a block at a time."""
+    out = np.zeros((len(w.counts), _CLASSES))
+    for k in range(0, len(w.bytes), BLOCK_BYTES):
+        some = _CLASS[w.bytes[k : k + BLOCK_BYTES]]
+        low, high = np.searchsorted(w.offsets, [k, k + len(some)], ("right"))
+        doc = np.repeat(np.arange(low - 1, min(high, len(w.counts))), np.diff(np.clip(w.offsets[low - 1 : high + 1], k, k + len(some))))
+        low = low - 1
+        n = int(doc[-1]) - low + 1
+        out[low : low + n] += np.bincount((doc - low) * _CLASSES + some, minlength=n * _CLASSES).reshape(n, _CLASSES)
+    return out
 
 
 def features(texts: list[bytes]) -> np.ndarray:
     """A row of numbers for each text."""
     n, w = len(texts), Words(texts)
     lengths = np.diff(w.offsets) - 1
-    doc_of_byte = np.repeat(np.arange(n, dtype=np.int64), lengths + 1)
-    classes = np.bincount(doc_of_byte * _CLASSES + _CLASS[w.bytes], minlength=n * _CLASSES).reshape(n, _CLASSES).astype(float)
+    classes = _class_counts(w)
     classes[:, 7] -= 1  # the line feed between documents
     per_char = classes / np.maximum(lengths, 1)[:, None]
-    h, sizes, doc = w.hashes(), (w.ends - w.starts).astype(float), np.repeat(np.arange(n), w.counts)
     count = np.maximum(w.counts, 1)
-    own = mix(h ^ mix(doc.astype(np.uint64) + np.uint64(1)))  # a word in its document
-    same = np.zeros(len(h))
-    same[1:] = h[1:] == h[:-1]
-    last = w.bytes[w.ends - 1] if len(h) else np.zeros(0, np.uint8)
-    marked = np.isin(_CLASS[last], (3, 5)).astype(float)
-    four = np.zeros(len(h), np.uint64)
-    if len(h) > 3:
-        four[:-3] = mix(own[:-3] + mix(own[1:-2] + mix(own[2:-1] + mix(own[3:]))))
-        four[-3:] = own[-3:]
-    distinct = lambda x: np.bincount(doc[np.unique(x, return_index=True)[1]], minlength=n) / count
     total = lambda x: per_document(x, w.first, np.add, 0.0) / count
-    out = np.column_stack([per_char, np.log1p(w.counts) / 5, total(sizes) / 10, distinct(own), distinct(four), total(same), total(marked)])
+    marked = _MARK[_CLASS[w.bytes[w.ends - 1]]]
+    shape = [np.log1p(w.counts) / 5, total(w.ends - w.starts) / 10, total(marked)]
+    own = w.hashes()
+    doc = np.repeat(np.arange(n, dtype=np.int32), w.counts)
+    same = np.zeros(len(own), np.int64)
+    same[1:] = own[1:] == own[:-1]
+    shape.append(total(same))
+    for k in range(0, len(own), BLOCK_BYTES):  # a word in its document
+        own[k : k + BLOCK_BYTES] = mix(own[k : k + BLOCK_BYTES] ^ mix(doc[k : k + BLOCK_BYTES].astype(np.uint64) + np.uint64(1)))
+
+    def distinct(x: np.ndarray) -> np.ndarray:
+        """Different values of each document among its words. They hold the document, so equal ones are of one."""
+        order = np.argsort(x)
+        x, of = x[order], doc[order]
+        new = np.ones(len(x), bool)
+        new[1:] = x[1:] != x[:-1]
+        return np.bincount(of[new], minlength=n) / count
+
+    words = distinct(own)
+    four = np.zeros(len(own), np.uint64)
+    if len(own) > 3:
+        for k in range(0, len(own) - 3, BLOCK_BYTES):
+            x = own[k : k + BLOCK_BYTES + 3]
+            four[k : k + len(x) - 3] = mix(x[:-3] + mix(x[1:-2] + mix(x[2:-1] + mix(x[3:]))))
+        four[-3:] = own[-3:]
+    out = np.column_stack([per_char, shape[0], shape[1], words, distinct(four), shape[3], shape[2]])
     out[w.counts == 0] = 0
     return out
 
@@ -120,13 +153,26 @@ def _fit(pos: np.ndarray, unl: np.ndarray, prior: float | None, epochs: int = 60
     return model
 
 
-def class_prior(pos: np.ndarray, unl: np.ndarray) -> float:
-    """Share of positives among the unlabelled: the least ratio of the shares that score above a threshold, with margins for sampling."""
-    p, u = np.sort(pos), np.sort(unl)
-    cuts = np.quantile(p, np.linspace(0.0, 0.7, 71))
-    above = lambda x: 1 - np.searchsorted(x, cuts, "left") / len(x)
-    eps = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(p)) + 1 / np.sqrt(len(u)))
-    return float(np.clip(np.min((above(u) + eps / 2) / np.maximum(above(p), 1e-9)), 0.05, 0.99))
+def class_prior(pos: np.ndarray, cuts: np.ndarray, above: np.ndarray, n: int) -> float:
+    """Share of positives among n unlabelled rows, of which so many score above each cut: the least ratio of the two shares, with margins for sampling."""
+    p = 1 - np.searchsorted(np.sort(pos), cuts, "left") / len(pos)
+    eps = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(pos)) + 1 / np.sqrt(max(n, 1)))
+    return float(np.clip(np.min((above / max(n, 1) + eps / 2) / np.maximum(p, 1e-9)), 0.05, 0.99))
+
+
+def _posterior(pos: np.ndarray, unl: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and shift that make outputs probabilities of being good, from positives, unlabelled rows and the prior alone: the unbiased logistic risk, which is convex here."""
+    a, b, shrink = 1.0, 0.0, 1e-3
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(a * unl + b, -30, 30)))
+        s = p * (1 - p) + 1e-9
+        g = np.array([(p * unl).mean() - prior * pos.mean() + shrink * (a - 1), p.mean() - prior + shrink * b])
+        h = np.array([[(s * unl * unl).mean() + shrink, (s * unl).mean()], [(s * unl).mean(), s.mean() + shrink]])
+        d = np.clip(np.linalg.solve(h, g), -2, 2)
+        a, b = a - d[0], b - d[1]
+        if np.abs(d).max() < 1e-8:
+            break
+    return float(a), float(b)
 
 
 def _calibrated(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -144,48 +190,81 @@ def _calibrated(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _sampled(ids: DataFrame, n: int, sample: int) -> DataFrame:
-    """Rows of ids whose hash is among the lowest, some times as many as are wanted of n rows: the rest need not be shuffled."""
-    if n <= 8 * sample:
-        return ids
-    return ids.filter(_place() < int((1 << 31) * 8 * sample / n) + 1)
+def lowest(df: DataFrame, by: list[str], sample: int) -> DataFrame:
+    """At most sample rows of df, those whose hashes of by are the lowest. Of many rows first the share that must hold them, so that tasks send few."""
+    place, n = F.xxhash64(*by, F.lit(SEED)), df.count()
+    if n > 8 * sample:
+        df = df.filter(F.pmod(place, F.lit(1 << 40)) < int((1 << 40) * 8 * sample / n))
+    return df.orderBy(F.pmod(place, F.lit(1 << 40)), *by).limit(sample)
 
 
-def _place():
-    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+def usable(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str) -> DataFrame:
+    """(text_hash, y, bytes) of each different text that has a label of a row that is not held out; the least label of several."""
+    known = labels.select(F.col("doc_id").alias("l_id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isNotNull() & F.col("l_id").isNotNull() & ~held_out("l_id")).groupBy("l_id").agg(F.min("y").alias("y"))
+    body = text_or_empty(f"`{text}`")
+    slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("text_hash"), F.octet_length(body).cast("long").alias("bytes")).filter(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    return slim.join(known, F.col("doc_id") == F.col("l_id")).groupBy("text_hash").agg(F.min("y").alias("y"), F.max("bytes").alias("bytes"))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, sample: int, unlabelled: bool) -> DataFrame:
-    """(doc_id, y, kind) of at most sample rows a kind, none of them held out: those with the lowest hashes of the id, so the same in any order."""
-    order = (_place(), F.col("doc_id"))
-    known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    own = _sampled(known, known.count(), sample).groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(*order).limit(sample).withColumn("kind", F.lit("labelled"))
-    if not unlabelled:
-        return own
-    ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id")).filter(F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    drawn = _sampled(ids, docs.count(), sample).distinct().orderBy(*order).limit(sample)
-    return own.unionByName(drawn.withColumns({"y": F.lit(None).cast("int"), "kind": F.lit("unlabelled")}))
+def fitting(of: list, most: int | None) -> list:
+    """Of rows with bytes those that fit into so many bytes, in their order; a text that does not fit is passed over."""
+    out, total = [], 0
+    for r in of:
+        if most is None or total + r.bytes <= most:
+            total += r.bytes
+            out.append(r)
+    return out
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model | None:
-    """Fit on at most 2 * sample rows; None if there is no labelled positive."""
-    chosen = training_rows(docs, labels, label, doc_id, sample, True).withColumnRenamed("doc_id", "__id")
-    # At most 2 * sample rows of an id and two short values: safe to broadcast at any input size.
-    texts = docs.select(F.col(f"`{doc_id}`").alias("__doc"), text_or_empty(f"`{text}`").alias("text")).join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("__id", "y", "kind", "text")
+def training_texts(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, sample: int, most: int | None = None, only: int | None = None) -> DataFrame:
+    """(y, text, text_hash) of at most sample different labelled texts (with one value of the label only, if given), of most bytes together: those with the lowest hashes, so the same in any order. Bounds hold after the join, whatever ids repeat."""
+    scratch = Scratch(docs.sparkSession)
+    known = usable(docs, labels, label, doc_id, text)
+    known = scratch.write(known if only is None else known.filter(F.col("y") == only))
+    chosen = fitting(lowest(known, ["text_hash"], sample).collect(), most)
+    scratch.keep()
+    # At most sample rows of two short values: safe to broadcast at any input size.
+    wanted = docs.sparkSession.createDataFrame([(r.text_hash, r.y) for r in chosen], "text_hash long, y int")
+    body = docs.select(text_or_empty(f"`{text}`").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    return body.join(F.broadcast(wanted), "text_hash").dropDuplicates(["text_hash"]).select("y", "text", "text_hash")
+
+
+def _matrix(df: DataFrame, *more: str) -> tuple[np.ndarray, list]:
+    """Features of the rows' texts, in the order of text_hash, and other columns."""
     field = T.StructField("features", T.ArrayType(T.DoubleType(), False))
-    got = add_columns(texts, [field], lambda: lambda t: [pa.array(list(features(t)))], "text").select("__id", "y", "kind", "features").toArrow().sort_by([("__id", "ascending"), ("kind", "ascending")])
-    x = np.asarray(got["features"].combine_chunks().flatten()).reshape(-1, N_FEATURES)
-    kind, y = np.asarray(got["kind"].to_pylist(), dtype=object), np.array([-1 if v is None else v for v in got["y"].to_pylist()])
-    labelled = kind == "labelled"
-    pos, unl = x[labelled & (y == 1)], x[~labelled]
-    if not len(pos):
+    got = add_columns(df, [field], lambda: lambda t: [pa.array(list(features(t)))], "text").select("text_hash", *more, "features").toArrow().sort_by("text_hash")
+    return np.asarray(got["features"].combine_chunks().flatten()).reshape(-1, N_FEATURES), [got[c].to_pylist() for c in more]
+
+
+def _above(docs: DataFrame, model: Model, cuts: np.ndarray, doc_id: str, text: str) -> tuple[np.ndarray, int]:
+    """How many of all documents that are not held out score at least each cut, and their number."""
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(f"`{text}`").alias("text")).filter(~held_out("doc_id")).select("text")
+    bins = add_columns(rows, [T.StructField("bin", T.IntegerType())], lambda: lambda t: [np.searchsorted(cuts, model.raw(features(t)), "right").astype(np.int32)], "text")
+    counts = np.zeros(len(cuts) + 1, np.int64)
+    for k, n in bins.groupBy("bin").count().collect():  # at most BINS + 2 rows
+        counts[k] = n
+    return counts[::-1].cumsum()[::-1][1:], int(counts.sum())
+
+
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model | None:
+    """Fit on at most sample labelled good texts and as many unlabelled ones; the class prior is of all documents. None if there is no labelled positive."""
+    x, (y,) = _matrix(training_texts(docs, labels, label, doc_id, text, sample, only=1), "y")
+    if not len(x):
         return None
-    first = _fit(pos, unl, None, epochs=15)
-    prior = class_prior(first.raw(pos), first.raw(unl))
-    model = _fit(pos, unl, prior)
-    known = y[labelled]
-    if 0 < known.sum() < len(known):
-        model.calibration = _calibrated(model.raw(x[labelled]), known.astype(float))
+    body = text_or_empty(f"`{text}`")
+    slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("text_hash")).filter(~held_out("doc_id"))
+    # Drawn by row, so that copies weigh as often as they occur: the lowest hashes of rows.
+    drawn = lowest(slim, ["doc_id", "text_hash"], sample).groupBy("text_hash").count()
+    wanted = docs.sparkSession.createDataFrame([(r["text_hash"], r["count"]) for r in drawn.collect()], "text_hash long, times long")
+    texts = docs.select(body.alias("text")).withColumn("text_hash", F.xxhash64("text")).join(F.broadcast(wanted), "text_hash").dropDuplicates(["text_hash"])
+    u, (times,) = _matrix(texts, "times")
+    u = np.repeat(u, times, axis=0)
+    first = _fit(x, u, None, epochs=15)
+    raw = first.raw(x)
+    cuts = np.quantile(raw, np.linspace(0.0, 0.7, BINS + 1))
+    prior = class_prior(raw, cuts, *_above(docs, first, cuts, doc_id, text))
+    model = _fit(x, u, prior)
+    model.calibration = _posterior(model.raw(x), model.raw(u), prior)
     model.prior = prior
     return model
 

@@ -96,7 +96,7 @@ f AS (SELECT doc_id, i, word, CASE WHEN k IS NOT NULL AND count(*) OVER (PARTITI
 g AS (SELECT doc_id, i, word, sum(again) OVER (PARTITION BY doc_id ORDER BY i ROWS 34 PRECEDING) > 0 AS gone FROM f),
 a AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept FROM g GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a ON d.doc_id = a.doc_id""".replace("\\\\", "\\"),
-    "op7_mixture": r"""WITH z AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size, md5(doc_id || ':' || md5(coalesce(text, ''))) AS k FROM documents),
+    "op7_mixture": r"""WITH z AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size, md5(coalesce('s' || source, 'null') || ':' || coalesce('i' || doc_id, 'null') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM z GROUP BY source), r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s), w AS (SELECT *, [1.0::DOUBLE, 2.0, 3.0][rank % 3 + 1] AS weight FROM r),
 l AS (SELECT *, 3 * source_size / weight AS level FROM w), t AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS total, CAST(coalesce(sum(3 * source_size) OVER b, 0) AS DOUBLE) AS filled, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS free FROM l WINDOW b AS (ORDER BY level, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 h AS (SELECT arg_min((total - filled) / free, (level, rank)) AS held FROM t WHERE (total - filled) / free < level),

@@ -1,5 +1,6 @@
 """Parts of the operators, each against a plain version or on held-out rows."""
 
+import itertools
 import random
 
 import duckdb
@@ -8,6 +9,7 @@ import pytest
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tarnwork.llm import bpe, quality_rules, secrets, sharding, simhash, substring_dedup, toxicity
@@ -77,18 +79,47 @@ def test_vantage_points(shape):
     elif shape == "none":
         x = x[:0]
     x = np.unique(x)
-    tree, forest = simhash.TopTree(x[::5], 4), simhash.Forest(len(x))
+    tree, forest = simhash.TopTree.over(x[::5], 4), simhash.Forest(len(x))
     shards: dict = {}
     for at, shard, home in tree.deal(x, 3):
         shards[shard] = (x[at], home)
     assert sum(int(h.sum()) for _, h in shards.values()) == len(x)
     for values, home in shards.values():
-        a, b = simhash.shard_links(values, home, 3)
+        a, b = simhash.shard_links(values[home], values, 3)
         assert len(a) < max(1, len(values))
         forest.link(np.searchsorted(x, a), np.searchsorted(x, b))
     assert (forest.roots(np.arange(len(x))) == brute.components(x)).all()
 
 
+@pytest.mark.parametrize("skewed", [False, True])
+def test_bounded_shards(spark, monkeypatch, skewed):
+    """With small bounds no group exceeds them, and links are those of all pairs."""
+    from tarnwork.llm.common import Scratch
+
+    for name, value in (("SHARD_ROWS", 60), ("QUERY_ROWS", 150), ("SAMPLE", 64)):
+        monkeypatch.setattr(simhash, name, value)
+    r = np.random.default_rng(6)
+    x = r.integers(0, 1 << 63, 900, dtype=np.uint64)
+    flips = lambda n: np.bitwise_or.reduce(np.uint64(1) << r.integers(0, 64, (4, n)).astype(np.uint64), axis=0)
+    x = np.concatenate([x, (x[:1] if skewed else x[:300]) ^ flips(300), x[:1] ^ flips(300) if skewed else x[:0]])
+    x = np.unique(x)
+    docs, scratch = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long").repartition(3), Scratch(spark)
+    groups = simhash.bounded_shards(docs, 3, scratch).groupBy("shard", "piece").agg(F.sum(F.col("home").cast("int")).alias("home"), F.sum(F.col("asks").cast("int")).alias("asks")).collect()
+    assert max(g.home for g in groups) <= 60 and max(g.asks for g in groups) <= 250 and len(groups) > 32
+    edges, forest = simhash.links(docs, scratch, 3).toPandas(), simhash.Forest(len(x))
+    forest.link(*(np.searchsorted(x, edges[c].to_numpy().view(np.uint64)) for c in "ab"))
+    assert (forest.roots(np.arange(len(x))) == brute.components(x)).all()
+
+
+def test_fingerprints_in_blocks(monkeypatch):
+    r = random.Random(8)
+    texts = [" ".join(f"W{r.randint(0, 30)}" for _ in range(n)) for n in (0, 1, 2, 3, 4, 50, 400, 1000)] + ["  a\tb ", "x" * 500 + " y " + "z" * 90]
+    for size, rows in ((1 << 19, 1 << 16), (20, 7), (1, 1)):
+        monkeypatch.setattr(simhash, "BLOCK_BYTES", size)
+        monkeypatch.setattr(simhash, "BLOCK_ROWS", rows)
+        assert simhash.fingerprints([t.encode() for t in texts]).tolist() == [brute.fingerprint(t) for t in texts]
+
+
 def test_components(spark, tmp_path):
     from tarnwork.llm.common import Scratch
 
@@ -186,6 +217,47 @@ def test_disguised_insults():
     texts = [(prose(80, r.choices(insults, k=2)), 1) for _ in range(120)] + [(prose(80, []), 0) for _ in range(500)]
     model = toxicity.fit([t.encode() for t, _ in texts], np.array([y for _, y in texts]))
     fresh = lambda extra: model.score([prose(80, [extra]).encode() for _ in range(20)])
-    for disguise in ("dumbkopf", "d.u.m.b.k.o.p.f", "dumb-kopf", "DUMBKOPF!!", "v i l e w r e t c h", "grubxmug"):
+    for disguise in ("dumbkopf", "d.u.m.b.k.o.p.f", "dumb-kopf", "DUMBKOPF!!", "v i l e w r e t c h", "grubxmug", "grub mug", "du mbk opf", "d . u . m . b . k . o . p . f", "v - i - l - e - w - r - e - t - c - h"):
         assert (fresh(disguise) >= 0.3).mean() >= 0.8, disguise
     assert (fresh("harmless") >= 0.3).mean() <= 0.1
+
+
+def subsequences(word):
+    """Weight of each subsequence of four characters of a word between borders, by all choices of places."""
+    chars, out = " " + "".join(x for x in word.lower() if x.isalnum()) + " ", {}
+    for places in itertools.combinations(range(len(chars)), 4):
+        skipped = places[3] - places[0] - 3
+        if skipped <= toxicity.REACH - 3:
+            key = "".join(chars[k] for k in places)
+            out[key] = out.get(key, 0) + toxicity.DECAY**skipped
+    return out
+
+
+def norm(n):
+    """The usual size for a word of n characters with its borders: as if all its subsequences were different."""
+    total = sum(toxicity.DECAY ** (2 * (p[3] - p[0] - 3)) for p in itertools.combinations(range(n), 4) if p[3] - p[0] - 3 <= toxicity.REACH - 3)
+    return total**0.5 or 1.0
+
+
+def test_subsequence_kernel():
+    words = ["idiot", "idixot", "i-d.i", "trash", "trash!", "a", "banana", "thequickbrown", "x1y2z3"]
+    marks = ["idiot", "trashes", "banana"]
+    size = lambda w: norm(len("".join(x for x in w if x.isalnum())) + 2)
+    want = [[sum(v * subsequences(m).get(k, 0) for k, v in subsequences(w).items()) / size(w) / size(m) for m in marks] for w in words]
+    kernel = toxicity.Kernel([m.encode() for m in marks])
+    got = kernel([w.encode() for w in words])
+    assert np.allclose(got, want, atol=1e-5)
+    weights = np.array([0.7, -1.3, 2.0])
+    folded = toxicity.Model(*kernel.table(weights), 0.0)
+    assert np.allclose(folded.words([w.encode() for w in words]), np.array(want) @ weights, atol=1e-4)
+
+
+def test_machine_and_landmarks():
+    """The Nystroem features of the landmarks themselves give back their kernel; the machine's value is least there."""
+    r = np.random.default_rng(2)
+    z = r.normal(size=(200, 5))
+    y = np.sign(z @ r.normal(size=5) + 0.3 * r.normal(size=200))
+    cost = r.uniform(0.5, 2, 200)
+    w, b = toxicity._machine(z, y, cost)
+    value = lambda w, b: 0.5 * (w @ w + 1e-3 * b * b) + 0.5 * (cost * np.maximum(0, 1 - y * (z @ w + b)) ** 2).sum()
+    assert all(value(w, b) <= value(w + 0.01 * r.normal(size=5), b + 0.01 * r.normal()) for _ in range(200))
