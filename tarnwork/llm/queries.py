@@ -29,7 +29,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_docs(spark, sf_dir).select("doc_id", "text"))
-    return secrets.digests(found).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    return secrets.digests(found).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "scores")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Secret scans: base patterns, and a character convolutional network over every candidate with its context.
 
-Candidates are the base matches and every run of token characters that holds letters and digits and is long enough.
-A numpy network with one convolution over character classes, global pooling and a dense layer scores each candidate
-with CONTEXT characters on either side; of a candidate beyond SPAN characters the highest score of its windows and
-parts counts, so that none of it goes unseen. It is trained on labelled findings: examples in seeded formats of credentials,
-and look-alikes (words, numbers, addresses, dates, links, plain identifiers), each in a context of words. A part
-of them is held back; on it scores are calibrated, and the threshold is the largest whose recall has an exact lower
-confidence bound of at least RECALL. Base matches always stay; the network adds spans of kind "model".
+Candidates are the base matches and every run of CANDIDATE_CHARS token characters or more that mixes letters with digits,
+or cases with symbols, outside of base matches. A numpy network with one convolution over character classes, which
+tell the candidate from its context, global pooling and a dense layer scores each candidate with CONTEXT characters on
+either side; of one beyond SPAN characters all windows and parts are scored, and the highest score counts. It is trained
+on labelled findings: examples in seeded formats of credentials and passwords, and look-alikes (words, numbers,
+addresses, dates, links, plain identifiers), each in a context of words, with or without a cue. A part of them is held
+back; on it scores are calibrated, and the threshold is the largest whose recall has an exact lower confidence bound of
+at least RECALL. Base matches always stay and get a score too; the network adds spans of kind "model".
 
 Spans are in code points, end exclusive. Per kind, base matches are the leftmost ones that don't overlap; a match
 that fails its length test is dropped after it has used up its characters. Added spans never overlap a base span.
@@ -33,13 +34,16 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "model")
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-CONTEXT, SPAN = 16, 48
+CANDIDATE_CHARS = 8
+CANDIDATE = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9+/_=.@#$%^&*!~-]*[A-Za-z0-9=])?")
+_MIXED = re.compile(r"(?=.*[A-Za-z])(?:(?=.*[0-9])|(?=.*[a-z])(?=.*[A-Z])(?=.*[^A-Za-z0-9]))")
+CONTEXT, SPAN = 24, 48
 #: What long candidates are also cut at, into parts of so many characters at least.
 PART, PART_CHARS = re.compile(r"[A-Za-z0-9]+"), 16
 LENGTH = CONTEXT + SPAN + CONTEXT
 RECALL, MISS = 0.95, 0.05
-_CLASSES = 17
+#: Classes of a candidate's characters; those of its context come after them.
+_KINDS = 17
 
 
 def _class_table() -> np.ndarray:
@@ -55,24 +59,27 @@ _TABLE = _class_table()
 
 
 def encode(text: str, start: int, end: int) -> np.ndarray:
-    """Character classes of a candidate's window; 16 is beyond the text. Of a long candidate, its first and last half of SPAN."""
-    left, right = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
-    body = text[start:end] if end - start <= SPAN else text[start : start + SPAN // 2] + text[end - SPAN // 2 : end]
+    """Character classes of at most SPAN characters of a candidate and their surroundings; 16 is beyond the text."""
     out = np.full(LENGTH, 16, np.uint8)
-    for at, part in ((CONTEXT - len(left), left), (CONTEXT, body), (CONTEXT + SPAN, right)):
-        code = np.frombuffer(part.encode("utf-32-le"), np.uint32)
-        out[at : at + len(code)] = np.where(code < 128, _TABLE[np.minimum(code, 127)], 14 + (code > 0))
+    out[:CONTEXT] += _KINDS
+    out[CONTEXT + SPAN :] += _KINDS
+    left, right = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
+    for at, part, shift in ((CONTEXT - len(left), left, _KINDS), (CONTEXT, text[start:end], 0), (CONTEXT + SPAN, right, _KINDS)):
+        code = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)
+        out[at : at + len(code)] = np.where(code < 128, _TABLE[np.minimum(code, 127)], 15) + shift
     return out
 
 
 def views(text: str, start: int, end: int) -> list[np.ndarray]:
-    """All that is scored of a candidate: itself, and of one beyond SPAN also overlapping windows of SPAN over all of it and its parts between separators."""
-    out = [encode(text, start, end)]
-    if end - start > SPAN:
-        out += [encode(text, a, a + SPAN) for a in [*range(start, end - SPAN, SPAN // 2), end - SPAN]]
-        parts = [m.span() for m in PART.finditer(text, start, end) if m.end() - m.start() >= PART_CHARS and re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
-        out += [encode(text, a, b) for a, b in parts if (a, b) != (start, end)]
-    return out
+    """All that is scored of a candidate: itself, or of one beyond SPAN overlapping windows over all of it and its parts between separators."""
+    if end - start <= SPAN:
+        return [encode(text, start, end)]
+    parts = [m.span() for m in PART.finditer(text, start, end) if PART_CHARS <= m.end() - m.start() <= SPAN and _MIXED.match(m[0])]
+    return [encode(text, a, b) for a, b in [*((a, a + SPAN) for a in [*range(start, end - SPAN, SPAN // 2), end - SPAN]), *parts]]
+
+
+#: Weight decay.
+DECAY = 1e-4
 
 
 class Network:
@@ -82,24 +89,28 @@ class Network:
 
     def __init__(self, seed: int = 3):
         rng = np.random.default_rng(seed)
-        self.w = [rng.normal(0, 0.2, (self.WIDTH * _CLASSES, self.FILTERS)), np.zeros(self.FILTERS), rng.normal(0, 0.2, 2 * self.FILTERS), np.zeros(1)]
+        self.w = [rng.normal(0, 0.2, (self.WIDTH * 2 * _KINDS, self.FILTERS)), np.zeros(self.FILTERS), rng.normal(0, 0.2, 2 * self.FILTERS), np.zeros(1)]
         self.calibration, self.threshold = (1.0, 0.0), 0.5
 
     def _columns(self, x: np.ndarray) -> np.ndarray:
-        hot = np.eye(_CLASSES, dtype=np.float32)[x]
+        hot = np.eye(2 * _KINDS, dtype=np.float32)[x]
         n = x.shape[1] - self.WIDTH + 1
         return np.concatenate([hot[:, k : k + n] for k in range(self.WIDTH)], axis=2)
 
     def forward(self, x: np.ndarray):
-        cols = self._columns(x)
-        act = np.maximum(cols @ self.w[0] + self.w[1], 0)
+        # A one-hot row times the filters is a row of them.
+        filters, n = self.w[0].reshape(self.WIDTH, 2 * _KINDS, self.FILTERS).astype(np.float32), x.shape[1] - self.WIDTH + 1
+        act = sum(filters[k][x[:, k : k + n]] for k in range(self.WIDTH)) + self.w[1].astype(np.float32)
+        act = np.maximum(act, 0)
         pooled = np.concatenate([act.max(1), act.mean(1)], axis=1)
-        return cols, act, pooled, pooled @ self.w[2] + self.w[3][0]
+        return act, pooled, pooled @ self.w[2] + self.w[3][0]
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(self.forward(x[k : k + 256])[2] for k in range(0, len(x), 256))])
 
     def score(self, x: np.ndarray) -> np.ndarray:
         a, b = self.calibration
-        raw = np.concatenate([self.forward(x[k : k + 256])[3] for k in range(0, len(x), 256)]) if len(x) else np.zeros(0)
-        return 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(a * self.raw(x) + b, -30, 30)))
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, seed: int = 5) -> None:
         rng, step = np.random.default_rng(seed), 0
@@ -108,13 +119,13 @@ class Network:
             order = rng.permutation(len(x))
             for k in range(0, len(x), 64):
                 i = order[k : k + 64]
-                cols, act, pooled, out = self.forward(x[i])
+                (act, pooled, out), cols = self.forward(x[i]), self._columns(x[i])
                 g = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - y[i]) / len(i)
-                gp = np.outer(g, self.w[2])
+                gp = np.outer(g, self.w[2]).astype(np.float32)
                 ga = np.repeat(gp[:, None, self.FILTERS :] / act.shape[1], act.shape[1], axis=1)
                 np.put_along_axis(ga, act.argmax(1)[:, None, :], np.take_along_axis(ga, act.argmax(1)[:, None, :], 1) + gp[:, None, : self.FILTERS], 1)
                 ga *= act > 0
-                grads = [np.tensordot(cols, ga, ([0, 1], [0, 1])), ga.sum((0, 1)), pooled.T @ g, np.array([g.sum()])]
+                grads = [cols.reshape(-1, cols.shape[2]).T @ ga.reshape(-1, self.FILTERS) + DECAY * self.w[0], ga.sum((0, 1)), pooled.T @ g + DECAY * self.w[2], np.array([g.sum()])]
                 step += 1
                 for j, d in enumerate(grads):
                     m[j], v[j] = 0.9 * m[j] + 0.1 * d, 0.999 * v[j] + 0.001 * d * d
@@ -125,28 +136,43 @@ def findings(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """n labelled findings: half are credentials, half look-alikes, each in a context of words."""
     r = random.Random(seed)
     syllables = ["the", "an", "er", "on", "ti", "re", "in", "es", "ou", "st", "que", "la", "ment", "ción", "sch", "ung", "en", "é", "ich", "ar"]
+    plain_syllables = ["the", "an", "er", "on", "ti", "re", "in", "es", "ou", "st", "que", "la", "ment", "ion", "sch", "ung"]
     word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
+    ascii_word = lambda a=1, b=4: "".join(r.choice(plain_syllables) for _ in range(r.randint(a, b)))
     pick = lambda chars, a, b: "".join(r.choice(chars) for _ in range(r.randint(a, b)))
-    low, up, num = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    secret = [
-        lambda: pick("0123456789abcdef", 32, 64), lambda: pick("0123456789ABCDEF", 32, 64), lambda: "AKIA" + pick(up + num, 16, 16),
-        lambda: pick(low + up + num, 20, 48), lambda: pick(low + up + num + "+/", 24, 64) + r.choice(["", "=", "=="]), lambda: pick(low, 2, 4) + "_" + pick(low + up + num, 24, 40),
-        lambda: pick(low + up + num + "-_", 20, 40), lambda: pick(low + num, 24, 40),
+    low, up, num, hexa, marks = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef", "!@#$%^&*_-+."
+    # Long random keys are told by themselves, short ones and passwords by a cue before them.
+    keys = [
+        lambda: pick(hexa, 32, 48), lambda: pick(hexa.upper(), 32, 48), lambda: "AKIA" + pick(up + num, 16, 16), lambda: pick(low + up + num, 20, 48),
+        lambda: pick(low + up + num + "+/", 24, 46) + r.choice(["", "=", "=="]), lambda: pick(low, 2, 4) + "_" + pick(low + up + num, 24, 40),
+        lambda: "x" + pick(low + up + num + "-_", 20, 38) + "1a", lambda: pick(low + num, 24, 40),
+    ]
+    short = [
+        lambda: "a" + pick(low + up + num + marks, 6, 14) + "7K", lambda: pick(low + up + num, 8, 18) + "3f", lambda: pick(hexa, 8, 30) + "a1",
+        lambda: ascii_word(2, 3).capitalize() + pick(marks, 1, 1) + pick(num, 1, 4) + pick(low, 0, 2), lambda: pick(up + num, 8, 14) + "B2",
     ]
     plain = [
-        lambda: "-".join(word() for _ in range(r.randint(3, 6))) + str(r.randint(1, 99)), lambda: "_".join(word() for _ in range(r.randint(3, 6))) + "_v" + str(r.randint(1, 9)),
-        lambda: "/".join(word() for _ in range(r.randint(3, 6))) + "/" + str(r.randint(1, 2030)), lambda: "".join(word() for _ in range(6)) + str(r.randint(0, 9)),
-        lambda: f"{r.randint(1990, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)}T{r.randint(10, 23)}-{word()}", lambda: word() * 4 + pick(num, 1, 3), lambda: "".join(word().capitalize() for _ in range(5)) + pick(num, 1, 2),
-        lambda: pick(num, 12, 19) + r.choice("ABX"), lambda: (word() + str(r.randint(0, 9))) * 4, lambda: "=" * 20 + word() + pick(num, 1, 2), lambda: r.choice(low) * 20 + pick(num, 1, 3),
+        lambda: "-".join(ascii_word() for _ in range(r.randint(2, 6))) + str(r.randint(1, 99)), lambda: "_".join(ascii_word() for _ in range(r.randint(2, 6))) + "_v" + str(r.randint(1, 9)),
+        lambda: "/".join(ascii_word() for _ in range(r.randint(2, 6))) + "/" + str(r.randint(1, 2030)), lambda: ascii_word(3, 6) + str(r.randint(0, 9)),
+        lambda: f"{r.randint(1990, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)}T{r.randint(10, 23)}-{ascii_word()}", lambda: ascii_word() * 4 + pick(num, 1, 3), lambda: "".join(ascii_word().capitalize() for _ in range(r.randint(2, 5))) + pick(num, 1, 2),
+        lambda: pick(num, 8, 19) + r.choice("ABX"), lambda: (ascii_word() + str(r.randint(0, 9))) * r.randint(2, 4), lambda: ascii_word(2, 3) + "=" * 6 + pick(num, 1, 2), lambda: r.choice(low) * r.randint(8, 30) + pick(num, 1, 3),
+        lambda: f"{ascii_word()}.{ascii_word()}{pick(num, 0, 3)}@{ascii_word()}{pick(num, 1, 2)}.com", lambda: f"www.{ascii_word()}{pick(num, 1, 3)}.org/{ascii_word()}", lambda: f"{ascii_word(2, 3)}.v{r.randint(1, 9)}.{r.randint(0, 20)}.tar.gz",
+        lambda: f"{pick(hexa, 8, 8)}-{pick(hexa, 4, 4)}-{pick(hexa, 4, 4)}-{pick(hexa, 4, 4)}-{pick(hexa, 12, 12)}", lambda: f"{ascii_word().capitalize()}-{ascii_word()}.{ascii_word().capitalize()}", lambda: f"{r.choice(up)}{r.choice(up)}{pick(num, 6, 12)}",
+        lambda: f"{ascii_word(2, 3)}{pick('#$%&*', 3, 3)}{pick(num, 1, 2)}", lambda: f"{pick(num, 1, 3)}.{pick(num, 3, 3)}.{pick(num, 2, 3)}-{r.choice(low)}", lambda: pick(up + num, 8, 12) + "C4",
     ]
-    lead = ["key = ", "key: ", "auth ", "bearer ", "credential=", "pwd=", "private_key: ", "id = ", "", "", "see ", "file ", "", "ref "]
+    lead = ["key = ", "key: ", "auth ", "bearer ", "credential=", "credentials: ", "pwd=", "pwd: ", "private_key: ", "passphrase: ", "pass: ", "login ", "PIN="]
+    none = ["id = ", "", "", "", "", "see ", "file ", "", "ref ", "order ", "by ", "at "]
     x, y = np.zeros((n, LENGTH), np.uint8), np.zeros(n)
     for k in range(n):
         y[k] = k % 2
-        value = r.choice(secret if k % 2 else plain)()
-        before = " ".join(word() for _ in range(r.randint(0, 4))) + " " + r.choice(lead) + r.choice(["", '"', "'"])
-        after = r.choice(["", '"', "'", "***", "!!"]) + " " + " ".join(word() for _ in range(r.randint(0, 4)))
-        x[k] = encode(before + value + after, len(before), len(before) + len(value))
+        if k % 2:
+            cued = r.random() < 0.6
+            value, cue = r.choice(short if cued else keys)(), r.choice(lead if cued or r.random() < 0.4 else none)
+        else:
+            value, cue = r.choice(plain)(), r.choice(none if r.random() < 0.9 else lead)
+        before = " ".join(word() for _ in range(r.randint(0, 5))) + " " + cue + r.choice(["", "", "", '"', "'"])
+        after = r.choice(["", "", '"', "'", ".", ",", "***", "!!"]) + " " + " ".join(word() for _ in range(r.randint(0, 5)))
+        x[k] = encode(before + value + after, len(before), len(before) + min(SPAN, len(value)))
     return x, y
 
 
@@ -165,31 +191,45 @@ def _lower_bound(k: int, n: int, miss: float) -> float:
 _trained: dict[int, Network] = {}
 
 
-def train(n: int = 4000) -> Network:
+def train(n: int = 5000) -> Network:
     """The network, its calibration and its threshold; the same every time."""
     if n not in _trained:
-        from .quality import _calibrated
-
         x, y = findings(n)
         cut = n * 3 // 4
         net = Network()
         net.fit(x[:cut], y[:cut])
-        net.calibration = _calibrated(np.concatenate([net.forward(x[k : k + 256])[3] for k in range(cut, n, 256)]), y[cut:])
+        net.calibration = _calibrated(net.raw(x[cut:]), y[cut:])
         held, truth = net.score(x[cut:]), y[cut:] == 1
         good = np.sort(held[truth])
-        keep = next(k for k in range(len(good) - 1, -1, -1) if k == 0 or _lower_bound(len(good) - k, len(good), MISS) >= RECALL)
+        keep = 0  # the bound falls as more are missed
+        while keep + 1 < len(good) and _lower_bound(len(good) - keep - 1, len(good), MISS) >= RECALL:
+            keep += 1
         net.threshold = float(good[keep])
         _trained[n] = net
     return _trained[n]
 
 
-def _class_bytes() -> tuple[bytes, bytes]:
-    hexa = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
-    token = bytes(120 if re.fullmatch(r"[A-Za-z0-9+/_=-]", chr(c)) else 32 for c in range(256))
-    return hexa, token
+def _calibrated(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Logistic slope and shift by Newton steps, towards shares that no finite number of findings makes 0 or 1."""
+    n = y.sum()
+    goal, a, b = np.where(y == 1, (n + 1) / (n + 2), 1 / (len(y) - n + 2)), 1.0, 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
+        s = p * (1 - p) + 1e-9
+        g, h = np.array([((p - goal) * raw).sum(), (p - goal).sum()]), np.array([[(s * raw * raw).sum() + 1e-6, (s * raw).sum()], [(s * raw).sum(), s.sum() + 1e-6]])
+        d = np.clip(np.linalg.solve(h, g), -2, 2)
+        a, b = a - d[0], b - d[1]
+        if np.abs(d).max() < 1e-8:
+            break
+    return float(a), float(b)
 
 
-_HEXA, _TOKEN = _class_bytes()
+#: Bytes as letters of a kind, for quick tests that rule matches out: hexadecimal digits; token characters, digits among them.
+_HEXA = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
+_TOKEN = re.compile(rb"[A-Za-z0-9+/_=.@#$%^&*!~-]{8,}")
+_SHAPE = bytes(100 if chr(c) in "0123456789" else 108 if c < 128 and chr(c).isalpha() else 115 if chr(c) in "+/_=.@#$%^&*!~-" else 32 for c in range(256))
+#: Digits beside letters or symbols, or symbols between letters: what no candidate is without.
+_LIKELY = re.compile(rb"[ls]d|d[ls]|ls+l")
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
@@ -205,11 +245,15 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, raw: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of token characters with letters and digits that no base span touches."""
-    if b"x" * 16 not in raw.translate(_TOKEN) or not any(c in raw for c in b"0123456789"):
+    """Runs of token characters that mix letters with digits, or cases with symbols, without what base spans cover."""
+    if not _LIKELY.search(raw.translate(_SHAPE)) or not any(_MIXED.match(m[0].decode()) for m in _TOKEN.finditer(raw)):
         return []
-    found = [m.span() for m in CANDIDATE.finditer(text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
-    return [(a, b) for a, b in found if all(b <= s or e <= a for s, _, e in base)]
+    out, at = [], 0
+    for a, b in [*((a, b) for a, _, b in base), (len(text), len(text))]:
+        if a > at:
+            out += [m.span() for m in CANDIDATE.finditer(text, at, a) if m.end() - m.start() >= CANDIDATE_CHARS and _MIXED.match(m[0])]
+        at = max(at, b)
+    return out
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())]))
@@ -230,7 +274,7 @@ def find_secrets(df: DataFrame, net: Network | None = None, text: str = "text")
                 for a, b in [(a, b) for a, _, b in base] + more:
                     first.append(len(windows))
                     windows += views(s, a, b)
-            scores = np.maximum.reduceat(net.score(np.array(windows)), first) if windows else np.zeros(0)
+            scores = np.maximum.reduceat(np.concatenate([net.score(np.array(windows[k : k + 4096])) for k in range(0, len(windows), 4096)]), first) if windows else np.zeros(0)
             out = []
             for base, more, at in rows:
                 own = [(a, k, b, scores[at + i]) for i, (a, k, b) in enumerate(base)]
@@ -249,7 +293,7 @@ def joined(spans: Column) -> Column:
 
 
 def digests(df: DataFrame) -> DataFrame:
-    """Counts by kind, and the digest of the base spans."""
+    """Counts by kind, the digest of the base spans, and the scores that the network gives to all spans, in their order."""
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     base = joined(F.filter("spans", lambda s: s["kind"] != "model"))
-    return df.withColumns({"n_assign": count("assign"), "n_access": count("access"), "n_hex": count("hex"), "base_sha256": F.sha2(base.cast("binary"), 256), "spans": joined(F.col("spans"))})
+    return df.withColumns({"n_assign": count("assign"), "n_access": count("access"), "n_hex": count("hex"), "base_sha256": F.sha2(base.cast("binary"), 256), "spans": joined(F.col("spans")), "scores": F.transform("spans", lambda s: F.round(s["score"], 6))})
