@@ -1,9 +1,10 @@
 """Quality rules with risk-controlled thresholds. Native.
 
 Each document gets a few measures. Per stratum (documents of similar length) and rule, cutoffs are tried from the most
-lenient to the strictest on labelled good documents; a cutoff is certified when the exact binomial probability of so
-few false rejections, if the true rate were RULE_RISK, is below CONFIDENCE_MISS shared equally among all strata and
-rules (Bonferroni), and the first one that is not certified ends the sequence (so trying many costs no confidence).
+lenient to the strictest on different texts of labelled good documents; a cutoff is certified when the exact binomial
+probability of so few false rejections, if the true rate were RULE_RISK, is below CONFIDENCE_MISS shared equally among
+all strata and rules (Bonferroni), and the first one that is not certified ends the sequence (so trying many costs no
+confidence).
 Rates of rules add up, so all rules together reject at most RISK of a stratum's good documents, with that confidence.
 Of the certified cutoffs the most lenient one that rejects nearly as many labelled bad documents as the strictest is
 taken; a stratum with too few labels gets no cutoff and rejects nothing.
@@ -43,21 +44,26 @@ def _without(text: Column, chars: str) -> Column:
 
 
 def measures(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the measures of each row of df, from array functions alone."""
+    """doc_id, text_hash and the measures of each row of df, from array functions alone."""
     k = REPEAT_WINDOW
     at = lambda a, i: F.get(a, i)
     body = df.select(F.col(f"`{doc_id}`").alias("doc_id"), text_or_empty(f"`{text}`").alias("text"))
     lined = body.select("*", word_array(F.col("text")).alias("words"), F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACES, "") != "").alias("lines"))
     counted = lined.select(
-        "doc_id", "words", F.size("words").cast("long").alias("n_words"),
+        "doc_id", F.xxhash64("text").alias("text_hash"), "words", F.size("words").cast("long").alias("n_words"),
         _without(F.col("text"), SPACES).cast("long").alias("word_chars"),
         (F.length("text") - _without(F.col("text"), "#*$%&|<>")).cast("long").alias("n_symbols"),
         (F.length("text") - _without(F.col("text"), UPPER)).cast("long").alias("n_upper"),
         (F.length("text") - _without(F.col("text"), "!?")).cast("long").alias("n_marks"),
         F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
     )
-    windows = F.when(F.col("n_words") >= k, F.transform(F.sequence(F.lit(1), F.size("words") - (k - 1)), lambda i: F.xxhash64(F.slice("words", i, k))))
-    hashed = counted.withColumn("windows", windows).drop("words")
+    # Hashes of words, put together to those of runs of 2, 4 and 8 words: windows of REPEAT_WINDOW, a power of two.
+    hashed, run = counted.withColumn("windows", F.when(F.col("n_words") >= k, F.transform("words", lambda x: F.xxhash64(x)))).drop("words"), 1
+    while run < k:
+        apart = run
+        hashed = hashed.withColumn("windows", F.transform("windows", lambda x, i: F.xxhash64(x, at(F.col("windows"), i + apart))))  # noqa: B023
+        run *= 2
+    hashed = hashed.withColumn("windows", F.slice("windows", F.lit(1), F.greatest(F.col("n_words").cast("int") - (k - 1), F.lit(0))))
     # Windows found twice: sort them with their places, and keep those with an equal neighbour.
     again = F.size(F.array_distinct("windows")) < F.size("windows")
     ordered = hashed.withColumn("sorted", F.when(again, F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))).drop("windows")
@@ -88,7 +94,10 @@ def select_cutoffs(measured: DataFrame, labels: DataFrame, label: str = "quality
     """Certified cutoffs by stratum and rule, from labelled documents that are not held out."""
     known = labels.filter(~held_out("doc_id")).groupBy("doc_id").agg(F.min(label).alias("good")).filter("good is not null")
     rules = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), _percent(r).alias("value")) for r in _RULES)))
-    rows = measured.join(known, "doc_id").filter("n_words >= 20").select(_stratum().alias("stratum"), "good", rules.alias("r"))
+    # Copies are one trial: the exact tests take rows to be drawn independently.
+    named = measured.join(known, "doc_id").filter("n_words >= 20").drop("doc_id")
+    by_text = [F.first(c).alias(c) for c in named.columns if c not in ("text_hash", "good")]  # alike for equal texts
+    rows = named.groupBy("text_hash").agg(F.min("good").alias("good"), *by_text).select(_stratum().alias("stratum"), "good", rules.alias("r"))
     above = F.size(F.filter(F.array(*map(F.lit, CUTOFFS)), lambda c: F.col("r.value") > c)).alias("above")
     # At most strata * rules * cutoffs * 2 rows.
     histogram = rows.groupBy("stratum", F.col("r.rule").alias("rule"), above, (F.col("good") == 1).alias("good")).count().collect()

@@ -178,11 +178,14 @@ def test_secret_network():
 def test_cutoffs_are_certified(spark, data):
     assert quality_rules.at_most(0, 100, 0.05) == pytest.approx(0.95**100) and quality_rules.at_most(5, 5, 0.3) == pytest.approx(1)
     sizes = spark.createDataFrame([(i, 200, 1000, 100 if i < 60 else 0, 0, 0, 5, 0, 0) for i in range(4000)], "doc_id long, n_words long, word_chars long, n_symbols long, n_upper long, n_marks long, n_lines long, n_dup_lines long, n_repeat_words long")
+    sizes = sizes.withColumn("text_hash", F.col("doc_id"))
     labels = spark.createDataFrame([(i, int(i >= 60), 0) for i in range(4000)], "doc_id long, quality int, toxic int")
     cut = quality_rules.select_cutoffs(sizes, labels)
     assert cut == {(1, "symbols"): 8.0}
     kept = {r.doc_id for r in quality_rules.judged(sizes, cut).filter("kept").collect()}
     assert kept == set(range(60, 4000))
+    copies = sizes.withColumn("text_hash", F.when(F.col("doc_id") < 60, F.col("doc_id")).otherwise(60 + F.col("doc_id") % 40))
+    assert quality_rules.select_cutoffs(copies, labels) == {}  # copies of forty good texts are forty trials
     few = labels.filter("doc_id < 100")
     assert quality_rules.select_cutoffs(sizes, few) == {}
 
