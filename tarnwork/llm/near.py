@@ -33,7 +33,7 @@ OF, ALL = 4, 5
 #: Shingles that go last, of those that more than OFTEN sets would be found by.
 COMMON, OFTEN = 100_000, 20
 #: 64-bit words of a bitmap; candidate rows of a part, about; sets of a block under one shingle, about; neighbours of the first turn.
-BITS, PART_ROWS, BLOCK_SETS, NEIGHBOURS = 16, 20_000, 5_000, 4
+BITS, PART_ROWS, BLOCK_SETS, NEIGHBOURS = 8, 20_000, 5_000, 4
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -146,8 +146,6 @@ def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -
     members = scratch.write(found.join(shared, "key").distinct())
     scratch.drop(found, shared)
     sets = scratch.write(printed.select("fp", "n", "bits").join(members.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
-    rows = scratch.write(members.join(sets, "fp"))
-    scratch.drop(members, sets)
 
     def blocked(of: DataFrame, rooted: bool) -> DataFrame:
         """of with block, the part that a row goes to, and whether only pairs of different blocks are asked for there."""
@@ -166,7 +164,8 @@ def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -
             a, b = close(*(np.asarray(table[c]) for c in ("key", "fp", "n")), bits, *own)
             return pa.table({"a": a, "b": b})
 
-        return blocked(of, rooted).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part").applyInArrow(within, "a long, b long").distinct()
+        # Bitmaps join last, so that only rows that are compared carry them.
+        return blocked(of, rooted).join(sets, "fp").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part").applyInArrow(within, "a long, b long").distinct()
 
     def checked(candidates: DataFrame) -> DataFrame:
         """Candidates whose whole sets are similar."""
@@ -190,13 +189,15 @@ def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -
                 fit = [similar(a, b) for a, b in zip(x.column("of_a").to_pylist(), x.column("of_b").to_pylist())]
                 yield x.select(["a", "b"]).filter(pa.array(fit, pa.bool_()))
 
-        return scratch.write(candidates.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(keep, "a long, b long"))
+        found = scratch.write(candidates.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(keep, "a long, b long"))
+        scratch.drop(candidates, one, shingles)
+        return found
 
-    linked = checked(pairs(rows, False).unionByName(_tree_links(printed, scratch)).distinct())
+    linked = checked(pairs(members, False).unionByName(_tree_links(printed, scratch)).distinct())
     roots = scratch.write(simhash.components(linked, scratch))
-    rooted = scratch.write(rows.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", "bits", F.coalesce("root", "fp").alias("root")))
+    rooted = scratch.write(members.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", F.coalesce("root", "fp").alias("root")))
+    scratch.drop(members)
     apart = scratch.write(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key"))
-    scratch.drop(rows)
     return linked.unionByName(checked(pairs(scratch.write(rooted.join(apart, "key", "left_semi")), True)))
 
 
