@@ -17,7 +17,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import models
+from ..functions import models, resilience
 from ..functions.keys import check_request
 from ..functions.resilience import BACKOFF_BASE, BACKOFF_CAP, MAX_RETRIES
 from ..operators import stages, tables
@@ -118,6 +118,30 @@ def with_retries(rows: DataFrame, stage: Callable[[DataFrame], DataFrame], key:
     return done
 
 
+def attempted(do: Callable[[], None], settings: Settings) -> None:
+    """do(), again after failures that may pass, as often and as late as stages are."""
+    for attempt in range(settings.max_retries + 1):
+        try:
+            return do()
+        except Exception as e:
+            # What Spark's writers raise comes wrapped; the store's own failures are told by their Java names.
+            passing = resilience.classify(e) or any(name in str(e) for name in ("java.io.IOException", "TimeoutException", "ConnectException"))
+            if attempt == settings.max_retries or not passing:
+                raise
+            log.warning("write_retry", extra={"fields": {"attempt": attempt + 1, "error": type(e).__name__}})
+            settings.sleep(min(settings.backoff_cap, settings.backoff_base * 2**attempt) * random.uniform(0.5, 1.0))
+
+
+def requeue(store: Store) -> int:
+    """Put documents that a crashed job left in PROCESSING back to NEW; only while no job runs. Chunks and vectors that it stored are found again by their keys."""
+    documents = store.read("documents")
+    stuck = F.col("status") == "PROCESSING"
+    n = documents.filter(stuck).count()
+    if n:
+        store.replace_documents(documents.withColumn("status", F.when(stuck, "NEW").otherwise(F.col("status"))))
+    return n
+
+
 def run_job(spark: SparkSession, store: Store, objects: str, knowledge_base: str | None = None, max_documents: int = 1, settings: Settings | None = None, on_complete: Callable[[JobSummary], None] | None = None) -> JobSummary:
     """Take up to max_documents pending documents through all stages. objects is the root folder of the object store."""
     check_request(knowledge_base, max_documents)
@@ -165,7 +189,7 @@ def _run(spark: SparkSession, store: Store, objects: str, knowledge_base: str |
     errors = extracted.select("doc_id", "error", "retry_count").unionByName(vectors.select("doc_id", "error", "retry_count"))
     tries = errors.groupBy("doc_id").agg(F.max("retry_count").alias("retry_count"))
     outcome = write(stages.outcomes(claimed, errors, chunks, images).join(tries, "doc_id", "left"))
-    store.replace_documents(stages.updated(store.read("documents"), outcome))
+    attempted(lambda: store.replace_documents(stages.updated(store.read("documents"), outcome)), settings)
     return outcome
 
 

@@ -107,7 +107,7 @@ def chunk_documents_arrow(read, spark, sf_dir):
 
 @_query(f"WITH RECURSIVE {_SQL_CHUNKS} SELECT lang, count(*) AS chunks, count(DISTINCT chunk_hash) AS distinct_chunks, count(DISTINCT doc_id) AS docs, CAST(sum(length(content)) AS BIGINT) AS chars FROM hashed GROUP BY lang")
 def chunk_stats(read, spark, sf_dir):
-    # Two light aggregations: by hash and document first, so that distinct counts need no expansion of rows.
+    # Two light aggregations: by hash and document first, so that distinct counts expand only what that leaves.
     per_hash = _hashed(read).groupBy("lang", "chunk_hash", "doc_id").agg(F.count("*").alias("n"), F.sum(F.length("content")).alias("chars"))
     return per_hash.groupBy("lang").agg(F.sum("n").alias("chunks"), F.countDistinct("chunk_hash").alias("distinct_chunks"), F.countDistinct("doc_id").alias("docs"), F.sum("chars").alias("chars"))
 
@@ -191,14 +191,14 @@ def store_keys(read, spark, sf_dir):
 
 @_query(f"WITH h AS (SELECT source AS doc_id, sha256({_NORM}) AS chunk_hash, doc_id AS n FROM documents), stored AS (SELECT doc_id, chunk_hash FROM h WHERE n IN (SELECT doc_id FROM labels)), fresh AS (SELECT doc_id, chunk_hash, min(n) AS n FROM h GROUP BY doc_id, chunk_hash) SELECT doc_id, chunk_hash, n FROM fresh f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.doc_id = f.doc_id AND s.chunk_hash = f.chunk_hash)")
 def insert_if_absent(read, spark, sf_dir):
-    h = read("documents").select(F.col("source").alias("doc_id"), text.content_hash(text.normalize_native(F.col("text"))).alias("chunk_hash"), F.col("doc_id").alias("n"))
+    h = read("documents").select(F.col("source").alias("doc_id"), text.content_hash(text.normalize(F.col("text"))).alias("chunk_hash"), F.col("doc_id").alias("n"))
     stored = h.join(read("labels").select(F.col("doc_id").alias("n")), "n", "left_semi")
     return tables.absent(tables.first_of(h, ["doc_id", "chunk_hash"], ["n"]), stored, ["doc_id", "chunk_hash"]).select("doc_id", "chunk_hash", "n")
 
 
 @_query(f"WITH h AS (SELECT doc_id, sha256({_NORM}) AS chunk_hash FROM documents) SELECT h.doc_id, h.chunk_hash, 'stored-' || h.doc_id AS chunk_id FROM h WHERE doc_id IN (SELECT doc_id FROM labels)")
 def reconcile_ids(read, spark, sf_dir):
-    h = read("documents").select("doc_id", text.content_hash(text.normalize_native(F.col("text"))).alias("chunk_hash"), F.lit("new").alias("chunk_id"))
+    h = read("documents").select("doc_id", text.content_hash(text.normalize(F.col("text"))).alias("chunk_hash"), F.lit("new").alias("chunk_id"))
     stored = h.join(read("labels").select("doc_id"), "doc_id", "left_semi").withColumn("chunk_id", F.concat(F.lit("stored-"), F.col("doc_id").cast("string")))
     return tables.reconciled(h, stored).select("doc_id", "chunk_hash", "chunk_id")
 

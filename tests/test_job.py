@@ -98,6 +98,36 @@ def test_failing_and_slow_models(spark, place, tmp_path):
         run_job(spark, store, objects, "Other")
 
 
+def test_status_write_is_retried_and_stuck_documents_return(spark, place, monkeypatch):
+    from tarnwork.plans.job import requeue
+
+    store, objects = place
+    write, calls = store.replace_documents, []
+
+    def flaky(rows):
+        calls.append(1)
+        if len(calls) == 2:  # the first write is the claim
+            raise ConnectionError("store away")
+        write(rows)
+
+    monkeypatch.setattr(store, "replace_documents", flaky)
+    slept = []
+    done = run_job(spark, store, objects, max_documents=1, settings=Settings(sleep=slept.append))
+    assert done.status == "COMPLETED" and len(calls) == 3 and len(slept) == 1
+
+    def broken(rows):
+        calls.append(1)
+        if len(calls) > 4:
+            raise ValueError("no")
+        write(rows)
+
+    monkeypatch.setattr(store, "replace_documents", broken)
+    assert run_job(spark, store, objects, max_documents=1, settings=Settings(sleep=slept.append)).status == "CRASHED"
+    monkeypatch.setattr(store, "replace_documents", write)
+    assert store.read("documents").filter("status = 'PROCESSING'").count() == 1
+    assert requeue(store) == 1 and requeue(store) == 0 and store.read("documents").filter("status = 'PROCESSING'").count() == 0
+
+
 def test_tables(spark):
     rows = spark.createDataFrame([("d", "h", 2, "late"), ("d", "h", 1, "early"), ("d", "i", 3, "x")], "doc_id string, chunk_hash string, block_no int, content string").withColumn("chunk_no", F.lit(0))
     assert sorted(r.content for r in stages.distinct_chunks(rows).collect()) == ["early", "x"]
@@ -155,3 +185,8 @@ def test_sql_functions(spark):
     register(spark)
     row = spark.sql("SELECT normalize_text(' A  b ') AS n, text_simhash('a b') AS s, split_chunks('aaaa. bbbb. cccc.', 12, 6) AS c").first()
     assert row.n == "a b" and row.s > 0 and row.c == ["aaaa. bbbb.", "bbbb. cccc."]
+    body = "one. <TABLE_REFERENCE>a. b.</TABLE_REFERENCE> two! three <IMAGE_REFERENCE src='x'></IMAGE_REFERENCE> four. <SPEAKER_NOTES>open"
+    from tarnwork.functions import text
+
+    d = spark.createDataFrame([(body,)], "body string")
+    assert d.selectExpr("split_chunks(body, 20, 6) AS c").first().c == d.select(text.split_text(text.spans(F.col("body")), 20, 6).alias("c")).first().c
