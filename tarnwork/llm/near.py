@@ -10,7 +10,9 @@ filtering: in any common order of all shingles, two sets of n and m shingles tha
 first n - ceil(SIMILARITY n) + 1 of the one and of the other. The order is by hash, with the shingles of many sets
 (at most COMMON of them, more only cost time) last, so that common passages make no candidates. Sets that share a
 shingle there are compared by parity bitmaps, whose differing bits never outnumber the shingles that only one of two
-sets has: this drops no pair that is similar enough. What is left is compared by whole sets, in two turns: first the
+sets has: this drops no pair that is similar enough. Bitmaps of fixed width come first; those of long sets fill up, so
+candidates are compared again by bitmaps as wide as the sets, which are a small part of the sets' size. What is left is
+compared by whole sets, in two turns: first the
 links of the trees and those of a few neighbours under each shingle, then every candidate pair whose sets are still in
 different components. So a large group of near copies costs rows in proportion to its size. Sets under one shingle are
 dealt to blocks of at most about BLOCK_SETS, and pairs of blocks to different tasks, so that no task gets them all.
@@ -66,16 +68,42 @@ def prefixes(value: np.ndarray, first: np.ndarray, common: np.ndarray) -> list[n
     return np.split(value[order][take], np.cumsum(np.bincount(doc[take], minlength=len(n)))[:-1])
 
 
-def summaries(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name, size, bitmap) of each set."""
+def set_names(value: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set, 0 of empty ones."""
     n = np.diff(first)
-    doc = np.repeat(np.arange(len(n)), n)
-    name, odd = np.zeros(len(n), np.uint64), np.zeros((len(n), 64 * BITS), np.uint8)
-    full = np.flatnonzero(n)
+    name, full = np.zeros(len(n), np.uint64), np.flatnonzero(n)
     if len(full):
         name[full] = mix(np.add.reduceat(mix(value), first[:-1][full]) + n[full].astype(np.uint64))
-        odd = (np.bincount(doc * 64 * BITS + (mix(value ^ np.uint64(1)) % np.uint64(64 * BITS)).astype(np.int64), minlength=odd.size) & 1).astype(np.uint8).reshape(odd.shape)
-    return name, n, np.packbits(odd, axis=1)
+    return name
+
+
+def summaries(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(name, size, bitmap, wide bitmap) of each set; a wide one has a bit or more for each shingle."""
+    n = np.diff(first)
+    doc = np.repeat(np.arange(len(n)), n)
+    at = mix(value ^ np.uint64(1))
+    widths = 64 * BITS << np.ceil(np.log2(np.maximum(1, n / (64 * BITS)))).astype(np.int64)
+    starts = np.concatenate([[0], np.cumsum(widths)])
+    wide = _parity(starts[doc] + (at & (widths[doc] - 1).astype(np.uint64)).astype(np.int64), starts[-1])
+    narrow = _parity(doc * 64 * BITS + (at % np.uint64(64 * BITS)).astype(np.int64), len(n) * 64 * BITS)
+    return set_names(value, first), n, narrow.reshape(len(n), 8 * BITS), [wide[a:b].tobytes() for a, b in zip(starts[:-1] // 8, starts[1:] // 8)]
+
+
+def _parity(places: np.ndarray, width: int) -> np.ndarray:
+    """Packed bits: whether a place occurs an odd number of times."""
+    times = np.zeros(width, np.uint8)
+    np.add.at(times, places, 1)  # wraps at 256, which keeps the parity
+    return np.packbits(times & 1)
+
+
+def may_be_similar(a: bytes, n: int, b: bytes, m: int) -> bool:
+    """False only where wide bitmaps of sets of n and m shingles rule the similarity out."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):  # a width is twice the next one, so halves fold into it
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return (OF + ALL) * int(np.bitwise_count(x ^ y).sum(dtype=np.int64)) <= (ALL - OF) * (n + m)
 
 
 def close(keys: np.ndarray, names: np.ndarray, sizes: np.ndarray, bits: np.ndarray, roots: np.ndarray | None, blocks: np.ndarray | None = None, across: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +153,7 @@ def _tree_links(printed: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -> DataFrame:
-    """Edges (a, b) that connect what pairs of similar sets connect. printed: text_hash, fp, n, bits and print of the rows of df."""
+    """Edges (a, b) that connect what pairs of similar sets connect. printed: text_hash, fp, n, bits and print of the rows of df, and wide."""
     texts = df.select(text_or_empty(f"`{text}`").alias("text"))
     fields = [T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType(), False))]
 
@@ -133,7 +161,7 @@ def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -
         def make():
             def batch(t: list[bytes]) -> list:
                 value, first = shingle_sets(t)
-                return [summaries(value, first)[0].view(np.int64), pa.array([k.view(np.int64) for k in prefixes(value, first, common)], pa.list_(pa.int64()))]
+                return [set_names(value, first).view(np.int64), pa.array([k.view(np.int64) for k in prefixes(value, first, common)], pa.list_(pa.int64()))]
 
             return batch
 
@@ -169,9 +197,19 @@ def near_links(df: DataFrame, printed: DataFrame, scratch: Scratch, text: str) -
 
     def checked(candidates: DataFrame) -> DataFrame:
         """Candidates whose whole sets are similar."""
-        candidates = scratch.write(candidates)
-        wanted = candidates.select(F.col("a").alias("fp")).unionByName(candidates.select(F.col("b").alias("fp"))).distinct()
-        one = scratch.write(printed.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("text_hash").alias("text_hash")))
+        ends = lambda pairs: pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+        given = scratch.write(candidates)
+        mapped = scratch.write(printed.select("fp", "n", "wide").join(ends(given), "fp", "left_semi").dropDuplicates(["fp"]))
+        of = lambda c: mapped.select(F.col("fp").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"of_{c}"))
+
+        def possible(batches):
+            for x in batches:
+                fit = [may_be_similar(*row) for row in zip(*(x.column(c).to_pylist() for c in ("of_a", "n_a", "of_b", "n_b")))]
+                yield x.select(["a", "b"]).filter(pa.array(fit, pa.bool_()))
+
+        candidates = scratch.write(given.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(possible, "a long, b long"))
+        scratch.drop(given, mapped)
+        one = scratch.write(printed.join(ends(candidates), "fp", "left_semi").groupBy("fp").agg(F.min("text_hash").alias("text_hash")))
         own = texts.withColumn("text_hash", F.xxhash64("text")).join(one, "text_hash").dropDuplicates(["fp"]).select("fp", "text")
 
         def whole():
@@ -205,12 +243,12 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """The rows of df without all but one of each component of similar texts, as simhash.keep_one chooses it."""
     scratch = Scratch(df.sparkSession)
     slim = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(text_or_empty(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
-    fields = [T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("print", T.LongType())]
+    fields = [T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bits", T.BinaryType()), T.StructField("wide", T.BinaryType()), T.StructField("print", T.LongType())]
 
     def make():
         def batch(t: list[bytes]) -> list:
-            name, n, bits = summaries(*shingle_sets(t))
-            return [name.view(np.int64), n, [x.tobytes() for x in bits], simhash.fingerprints(t, SHINGLE).view(np.int64)]
+            name, n, bits, wide = summaries(*shingle_sets(t))
+            return [name.view(np.int64), n, [x.tobytes() for x in bits], wide, simhash.fingerprints(t, SHINGLE).view(np.int64)]
 
         return batch
 

@@ -5,6 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
+from tarnwork.llm import near
 
 from . import brute
 
@@ -49,3 +50,23 @@ def test_near_copies(spark, tmp_path):
     assert sorted(x.doc_id for x in corpus_pipeline.near_stage(spark, docs, "").collect()) == want
     prints = np.array([brute.fingerprint(t) for _, t in rows], np.uint64)
     assert len(want) < len(set(brute.components(prints)))  # fingerprints of op10 miss most of them
+
+
+def test_wide_bitmaps_rule_out_only_unlike_sets():
+    r, texts = random.Random(9), ["", "a", "a b c d e f"]
+    for n in (300, 515, 700, 4000, 20_000):  # sizes on both sides of the widths
+        base = [f"w{r.randint(0, 9999)}" for _ in range(n)]
+        for part in (0, 0.01, 0.02, 0.024, 0.03, 0.1, 1):
+            texts.append(" ".join(f"x{r.randint(0, 9999)}" if r.random() < part else w for w in base))
+        texts.append(" ".join(base[: int(n * 0.81)]))
+    value, first = near.shingle_sets([t.encode() for t in texts])
+    _, sizes, _, wide = near.summaries(value, first)
+    sets = [value[a:b] for a, b in zip(first[:-1], first[1:])]
+    passed = alike = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            may, is_similar = near.may_be_similar(wide[a], sizes[a], wide[b], sizes[b]), near.similar(sets[a].tobytes(), sets[b].tobytes())
+            assert may or not is_similar
+            passed, alike = passed + may, alike + is_similar
+    assert alike >= 10, "too few similar pairs for the check to mean something"
+    assert passed < 1.5 * alike
