@@ -97,7 +97,9 @@ def _parity(places: np.ndarray, width: int) -> np.ndarray:
 
 
 def may_be_similar(a: bytes, n: int, b: bytes, m: int) -> bool:
-    """False only where wide bitmaps of sets of n and m shingles rule the similarity out."""
+    """False only where the sizes n and m of two sets or their wide bitmaps rule the similarity out."""
+    if ALL * min(n, m) < OF * max(n, m):
+        return False
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
     while len(x) != len(y):  # a width is twice the next one, so halves fold into it
         if len(x) < len(y):
